@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.fixtures import bronze_from_lineitem, bronze_from_orders
@@ -56,10 +56,6 @@ def _cleaned(clean: Callable[[Column], Column], raw: str, name: str) -> Query:
     )
 
 
-def _observed_silver(bronze: DataFrame) -> DataFrame:
-    return to_silver(bronze, Observation())
-
-
 def _top_categories(n: int) -> Callable[[DataFrame], DataFrame]:
     return lambda silver: top_k(category_spend(silver), n, "total_gastado", "categoria")
 
@@ -69,7 +65,7 @@ def _top_users(silver: DataFrame) -> DataFrame:
 
 
 def _balance_share(silver: DataFrame) -> DataFrame:
-    return share_of_total(balance(silver), "total_monto").select("tipo_transaccion", "porcentaje")
+    return share_of_total(balance(silver), "total_monto", "tipo_transaccion")
 
 
 def _bronze_csv(spark: SparkSession, sf_dir: str, source: Source = bronze_from_orders) -> str:
@@ -88,7 +84,7 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver_export(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "silver")
-        write_table(_observed_silver(bronze_from_orders(spark, sf_dir)), path, fmt)
+        write_table(to_silver(bronze_from_orders(spark, sf_dir)), path, fmt)
         return read_silver(spark, path, fmt)
 
     return query
@@ -128,7 +124,7 @@ def queries() -> dict[str, Query]:
         "parse_date_multi": _cleaned(parse_date_multi, "fecha_operacion", "fecha"),
         "clean_label": _cleaned(clean_label, "categoria_raw", "categoria"),
         "map_movement": _cleaned(map_synonyms, "tipo_movimiento", "tipo_transaccion"),
-        "silver": _on_bronze(orders, _observed_silver),
+        "silver": _on_bronze(orders, to_silver),
         "silver_preview": _on_silver(orders, lambda s: preview(s, 10, "id_transaccion")),
         "quality_counts": _on_bronze(orders, quality_counts),
         "expense_rows": _on_silver(orders, expense_rows),
@@ -146,7 +142,7 @@ def queries() -> dict[str, Query]:
         "category_report_csv": _category_report_csv,
         "whole_job_balance": _whole_job(orders, "balance"),
         "whole_job_user_totals": _whole_job(orders, "user_totals"),
-        "lineitem_silver": _on_bronze(lineitem, _observed_silver),
+        "lineitem_silver": _on_bronze(lineitem, to_silver),
         "lineitem_quality_counts": _on_bronze(lineitem, quality_counts),
         "lineitem_gold_balance": _on_silver(lineitem, balance),
         "lineitem_gold_category_spend": _on_silver(lineitem, category_spend),

@@ -13,6 +13,6 @@ def sum_money(c: Column) -> Column:
     """
     cents = F.rint(c * 100)
     whole = (F.abs(cents) < 2.0**53) & (cents / 100 == c)
-    exact = F.try_sum(F.when(whole, cents.cast("bigint"))) / 100
+    exact = (F.try_sum(F.when(whole, cents.cast("bigint"))).cast("decimal(20,0)") / 100).cast("double")
     other = F.sum(F.when(~whole, c))
     return F.coalesce(exact + F.coalesce(other, F.lit(0.0)), F.sum(c))

@@ -53,11 +53,15 @@ def preview(df: DataFrame, n: int, key: str) -> DataFrame:
     return df.orderBy(*(F.asc_nulls_last(c) for c in (key, *others))).limit(n)
 
 
-def share_of_total(report: DataFrame, measure: str, name: str = "porcentaje") -> DataFrame:
-    """Add each row's percentage of the column's sum, with one decimal.
+def share_of_total(
+    report: DataFrame, measure: str, *keys: str, name: str = "porcentaje"
+) -> DataFrame:
+    """Each group's percentage of the column's sum, with one decimal.
 
-    The sum is a scalar subquery, so no task ever holds the whole report.
+    The sum is a scalar subquery, so no task ever holds the whole report. Groups and sum need the
+    same columns, which lets Spark use one aggregation for both.
     """
-    total = report.agg(F.sum(measure)).scalar()
-    percentage = F.try_divide(100 * F.col(measure), total)
-    return report.withColumn(name, F.round(percentage, 1))
+    groups = report.select(*keys, measure)
+    total = groups.agg(sum_money(F.col(measure))).scalar()
+    share = F.round(F.try_divide(100 * F.col(measure), total), 1)
+    return groups.select(*keys, share.alias(name))

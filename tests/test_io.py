@@ -1,0 +1,149 @@
+"""CSV and Parquet in and out, on new folders."""
+
+from datetime import date
+from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
+
+from ledgerlift.schemas import BRONZE, CATEGORY_SPEND, SILVER
+from ledgerlift.sources import (
+    read_bronze,
+    read_csv,
+    read_silver,
+    scratch_path,
+    write_report,
+    write_table,
+)
+
+HEADER = "id_transaccion,id_usuario,monto_str,fecha_operacion,categoria_raw,tipo_movimiento\n"
+
+
+def bronze_of(spark, folder, *files):
+    for i, text in enumerate(files):
+        (folder / f"{i}.csv").write_text(text, encoding="utf-8")
+    return [tuple(r) for r in read_bronze(spark, str(folder)).collect()]
+
+
+def part_files(path):
+    return sorted(Path(path).glob("part-*.csv"))
+
+
+def test_reading_keeps_the_text(spark, tmp_path):
+    body = (
+        '1,u,"$1,234.50", 2025-04-25 ,"x,y",cargo\n'
+        "2,u\n"
+        "\n"
+        "3,u,5,2025-04-25,Renta,cargo,extra\n"
+        '4,"",,2025-04-25,"q ""r""",cargo\n'
+    )
+    assert bronze_of(spark, tmp_path, HEADER + body) == [
+        ("1", "u", "$1,234.50", " 2025-04-25 ", "x,y", "cargo"),
+        ("2", "u", None, None, None, None),
+        ("3", "u", "5", "2025-04-25", "Renta", "cargo"),
+        ("4", None, None, "2025-04-25", '"q ""r"""', "cargo"),
+    ]
+
+
+def test_columns_go_by_header_name(spark, tmp_path):
+    names = ["otra", *reversed(BRONZE.names)]
+    text = ",".join(names) + "\nx,cargo,Renta,2025-04-25,$1,u,1\n"
+    assert bronze_of(spark, tmp_path, text) == [("1", "u", "$1", "2025-04-25", "Renta", "cargo")]
+
+
+def test_files_share_a_header(spark, tmp_path):
+    row = "{},u,$1,2025-04-25,Renta,cargo\n"
+    rows = bronze_of(spark, tmp_path, HEADER + row.format(1), HEADER + row.format(2), HEADER)
+    assert sorted(r[0] for r in rows) == ["1", "2"]
+
+
+def test_a_file_in_another_order_is_not_misread(spark, tmp_path):
+    swapped = "id_usuario,id_transaccion" + HEADER[len("id_transaccion,id_usuario"):]
+    row = "a,b,$1,2025-04-25,Renta,cargo\n"
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        bronze_of(spark, tmp_path, HEADER + row, swapped + row)
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="monto_str"):
+        bronze_of(spark, tmp_path, HEADER.replace("monto_str", "importe"))
+
+
+SILVER_ROWS = [
+    (" T1 ", 'u"1"', 1234.5, date(2025, 4, 25), "Sérvicios", "EGRESO"),
+    ("T,2", None, 1e12, date(1999, 12, 31), None, "INGRESO"),
+    ("T3", "back\\slash", float("inf"), date(2025, 1, 1), "", "EGRESO"),
+]
+
+
+def test_silver_parquet_is_lossless(spark, tmp_path):
+    write_table(spark.createDataFrame(SILVER_ROWS, SILVER), f"{tmp_path}/silver")
+    back = read_silver(spark, f"{tmp_path}/silver")
+    assert back.schema == SILVER
+    assert sorted(map(tuple, back.collect())) == sorted(SILVER_ROWS)
+
+
+def test_silver_csv_loses_only_the_empty_string(spark, tmp_path):
+    write_table(spark.createDataFrame(SILVER_ROWS, SILVER), f"{tmp_path}/silver", "csv")
+    back = read_silver(spark, f"{tmp_path}/silver", "csv")
+    assert back.schema == SILVER
+    expected = [tuple(v if v != "" else None for v in row) for row in SILVER_ROWS]
+    assert sorted(map(tuple, back.collect())) == sorted(expected)
+
+
+def test_tables_are_overwritten(spark, tmp_path):
+    table = spark.createDataFrame(SILVER_ROWS, SILVER)
+    for rows in (table, table.limit(1)):
+        write_table(rows, f"{tmp_path}/silver")
+    assert read_silver(spark, f"{tmp_path}/silver").count() == 1
+
+
+def test_csv_values_that_do_not_fit_become_null(any_ansi, tmp_path):
+    (tmp_path / "r.csv").write_text("total_gastado,categoria\n1.5,a\nmuch,b\n")
+    rows = read_csv(any_ansi, str(tmp_path), CATEGORY_SPEND).collect()
+    assert [tuple(r) for r in rows] == [("a", 1.5), ("b", None)]
+
+
+def test_a_small_report_is_one_sorted_file(spark, tmp_path):
+    report = spark.range(500, numPartitions=7).withColumnRenamed("id", "n")
+    assert write_report(report, f"{tmp_path}/r", report.n.desc()) == 500
+    (file,) = part_files(f"{tmp_path}/r")
+    assert file.read_text().split() == ["n", *map(str, range(499, -1, -1))]
+
+
+def test_a_large_report_stays_whole_and_sorted(spark, tmp_path):
+    report = spark.range(50_000, numPartitions=7).withColumnRenamed("id", "n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = write_report(report, f"{tmp_path}/r", report.n.desc(), one_file_rows=49_999)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = part_files(f"{tmp_path}/r")
+    values = [int(line) for f in files for line in f.read_text().split()[1:]]
+    assert rows == 50_000 and len(files) > 1
+    assert values == list(range(49_999, -1, -1))
+
+
+def test_an_empty_report_still_has_its_header(spark, tmp_path):
+    report = spark.createDataFrame([], CATEGORY_SPEND)
+    assert write_report(report, f"{tmp_path}/r", "categoria") == 0
+    (file,) = part_files(f"{tmp_path}/r")
+    assert file.read_text() == "categoria,total_gastado\n"
+
+
+def session_with(settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    return SimpleNamespace(conf=conf)
+
+
+def test_scratch_is_in_the_shared_folder():
+    cluster = session_with({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
+    first, second = scratch_path(cluster, "t"), scratch_path(cluster, "t")
+    assert first != second
+    assert first.startswith("hdfs:///shared/t-") and second.startswith("hdfs:///shared/t-")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session_with({"spark.master": "yarn"}), "t")
+    assert Path(scratch_path(spark, "t")).parent.is_dir()
