@@ -56,6 +56,12 @@ def _cleaned(clean: Callable[[Column], Column], raw: str, name: str) -> Query:
     )
 
 
+def _clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label cleaning over whole texts in several languages."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return documents.select("doc_id", clean_label(F.col("text")).alias("categoria"))
+
+
 def _top_categories(n: int) -> Callable[[DataFrame], DataFrame]:
     return lambda silver: top_k(category_spend(silver), n, "total_gastado", "categoria")
 
@@ -123,6 +129,7 @@ def queries() -> dict[str, Query]:
         "parse_money": _cleaned(parse_money, "monto_str", "monto"),
         "parse_date_multi": _cleaned(parse_date_multi, "fecha_operacion", "fecha"),
         "clean_label": _cleaned(clean_label, "categoria_raw", "categoria"),
+        "clean_label_texts": _clean_texts,
         "map_movement": _cleaned(map_synonyms, "tipo_movimiento", "tipo_transaccion"),
         "silver": _on_bronze(orders, to_silver),
         "silver_preview": _on_silver(orders, lambda s: preview(s, 10, "id_transaccion")),
@@ -223,6 +230,10 @@ def oracle_sql() -> dict[str, str]:
         "parse_money": one_column("monto"),
         "parse_date_multi": one_column("fecha"),
         "clean_label": one_column("categoria"),
+        "clean_label_texts": (
+            "SELECT doc_id, trim(regexp_replace(text, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑ ]', '', 'g')) "
+            "AS categoria FROM documents"
+        ),
         "map_movement": one_column("tipo_transaccion"),
         "silver": orders(silver),
         "silver_preview": orders(silver + " ORDER BY ALL LIMIT 10"),

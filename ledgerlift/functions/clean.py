@@ -24,14 +24,14 @@ def parse_money(c: Column, symbols: str = MONEY_SYMBOLS, word: str = CURRENCY_WO
 
     The symbols go first: removing one may complete the word.
     """
-    bare = F.translate(c, symbols, "")
+    bare = reduce(lambda text, symbol: F.replace(text, F.lit(symbol), F.lit("")), symbols, c)
     return F.regexp_replace(bare, rf"\s*{re.escape(word)}\s*", "").try_cast("double")
 
 
 def _date_shape(fmt: str) -> str | None:
-    """A regex that every text of this date format matches; None if a piece is unknown."""
+    """A regex that every text of this date format matches; None if that is not certain."""
     pieces = re.findall(r"[A-Za-z]+|[^A-Za-z]+", fmt)
-    if any(p[0].isalpha() and p not in _DATE_PIECES for p in pieces) or "'" in fmt:
+    if not all(p in _DATE_PIECES or re.fullmatch("[-/., :_]+", p) for p in pieces):
         return None
     return r"\A" + "".join(_DATE_PIECES.get(p, re.escape(p)) for p in pieces) + r"\z"
 

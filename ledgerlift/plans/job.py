@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ledgerlift.operators import balance, category_spend, to_silver, top_k, user_totals
+from ledgerlift.operators import balance, category_spend, preview, to_silver, top_k, user_totals
 from ledgerlift.operators.gold import largest_first
 from ledgerlift.sources import read_bronze, read_silver, write_report, write_table
 
@@ -67,11 +67,14 @@ def main() -> None:
     options = args.parse_args()
 
     spark = SparkSession.builder.appName("ledgerlift").getOrCreate()
+    read_bronze(spark, options.in_path).printSchema()
     result = run(spark, options.in_path, options.out_path, options.silver_csv)
     print(
         f"bronze {result.filas_bronze}, silver {result.filas_silver}, "
         f"discarded {result.filas_descartadas}"
     )
+    result.silver.printSchema()
+    preview(result.silver, 10, "id_transaccion").show()
     result.balance.show()
     top_k(result.category_spend, 10, "total_gastado", "categoria").show()
     top_k(result.user_totals, 10, "monto_total", "id_usuario", "tipo_transaccion").show()

@@ -127,8 +127,11 @@ def test_unknown_date_piece_is_tried_on_every_text(spark):
     assert _date_shape("yyyyMMdd") is None
     assert _date_shape("d/M/yyyy") is None
     assert _date_shape("'on' dd/MM/yyyy") is None
-    read = apply(spark, lambda c: parse_date_multi(c, ["yyyyMMdd", "d/M/yyyy"]), ["20250425", "5/4/2025"])
-    assert read == {"20250425": APRIL_25, "5/4/2025": date(2025, 4, 5)}
+    assert _date_shape("dd/MM[/yyyy]") is None
+    formats = ["yyyyMMdd", "d/M/yyyy", "[dd/]MM/yyyy", "dd.MM.yyyy"]
+    texts = ["20250425", "5/4/2025", "25.04.2025"]
+    read = apply(spark, lambda c: parse_date_multi(c, formats), texts)
+    assert read == {"20250425": APRIL_25, "5/4/2025": date(2025, 4, 5), "25.04.2025": APRIL_25}
 
 
 def date_like_texts(n=20_000):

@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from ledgerlift.operators import quality_counts
 from ledgerlift.schemas import BRONZE, CATEGORY_SPEND, SILVER
 from ledgerlift.sources import (
     read_bronze,
@@ -57,11 +58,24 @@ def test_files_share_a_header(spark, tmp_path):
     assert sorted(r[0] for r in rows) == ["1", "2"]
 
 
-def test_a_file_in_another_order_is_not_misread(spark, tmp_path):
-    swapped = "id_usuario,id_transaccion" + HEADER[len("id_transaccion,id_usuario"):]
+@pytest.mark.parametrize(
+    "other",
+    [
+        HEADER.replace("id_transaccion,id_usuario", "id_usuario,id_transaccion"),
+        HEADER.replace("monto_str,fecha_operacion", "fecha_operacion,monto_str"),
+        HEADER.replace("categoria_raw,", ""),
+        HEADER.replace(",tipo_movimiento", ""),
+        "otra," + HEADER,
+    ],
+    ids=["ids swapped", "values swapped", "column gone", "last column gone", "column added"],
+)
+def test_a_file_with_another_header_is_not_misread(spark, tmp_path, other):
     row = "a,b,$1,2025-04-25,Renta,cargo\n"
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        bronze_of(spark, tmp_path, HEADER + row, swapped + row)
+    with pytest.raises(Exception, match="CSV header|Number of column in CSV header"):
+        bronze_of(spark, tmp_path, HEADER + row, other + row)
+    if "id_usuario,id_transaccion" not in other:  # the counts read no ids
+        with pytest.raises(Exception, match="CSV header"):
+            quality_counts(read_bronze(spark, str(tmp_path))).collect()
 
 
 def test_a_missing_column_is_an_error(spark, tmp_path):
