@@ -24,7 +24,7 @@ from ledgerlift.operators import (
     top_k,
     user_totals,
 )
-from ledgerlift.operators.gold import largest_first
+from ledgerlift.operators.gold import SPEND_ORDER, USER_ORDER, largest_first
 from ledgerlift.plans import run
 from ledgerlift.schemas import BALANCE, CATEGORY_SPEND
 from ledgerlift.sources import (
@@ -63,11 +63,11 @@ def _clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _top_categories(n: int) -> Callable[[DataFrame], DataFrame]:
-    return lambda silver: top_k(category_spend(silver), n, "total_gastado", "categoria")
+    return lambda silver: top_k(category_spend(silver), n, *SPEND_ORDER)
 
 
 def _top_users(silver: DataFrame) -> DataFrame:
-    return top_k(user_totals(silver), 10, "monto_total", "id_usuario", "tipo_transaccion")
+    return top_k(user_totals(silver), 10, *USER_ORDER)
 
 
 def _balance_share(silver: DataFrame) -> DataFrame:
@@ -105,8 +105,8 @@ def _balance_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _category_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold_categorias")
-    report = category_spend(to_silver(bronze_from_orders(spark, sf_dir)))
-    write_report(report, path, *largest_first("total_gastado", "categoria"))
+    report = category_spend(to_silver(bronze_from_orders(spark, sf_dir)), ranked=False)
+    write_report(report, path, *largest_first(*SPEND_ORDER))
     return read_csv(spark, path, CATEGORY_SPEND)
 
 

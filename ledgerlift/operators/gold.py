@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from ledgerlift.defaults import EXPENSE
 from ledgerlift.functions import sum_money
 
+# The measure that ranks a report, then the keys that settle ties.
+SPEND_ORDER = ("total_gastado", "categoria")
+USER_ORDER = ("monto_total", "id_usuario", "tipo_transaccion")
+
 
 def balance(silver: DataFrame) -> DataFrame:
     """Total and number of operations per movement type. Operations without an id do not count."""
@@ -19,22 +23,22 @@ def expense_rows(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("tipo_transaccion") == EXPENSE)
 
 
-def category_spend(silver: DataFrame) -> DataFrame:
+def category_spend(silver: DataFrame, ranked: bool = True) -> DataFrame:
     """Expenses per category, the largest first. Null and empty categories are groups too."""
     spend = (
         expense_rows(silver)
         .groupBy("categoria")
         .agg(F.round(sum_money(F.col("monto")), 2).alias("total_gastado"))
     )
-    return spend.orderBy(*largest_first("total_gastado", "categoria"))
+    return spend.orderBy(*largest_first(*SPEND_ORDER)) if ranked else spend
 
 
-def user_totals(silver: DataFrame) -> DataFrame:
+def user_totals(silver: DataFrame, ranked: bool = True) -> DataFrame:
     """Total per user and movement type, the largest first."""
     totals = silver.groupBy("id_usuario", "tipo_transaccion").agg(
         F.round(sum_money(F.col("monto")), 2).alias("monto_total")
     )
-    return totals.orderBy(*largest_first("monto_total", "id_usuario", "tipo_transaccion"))
+    return totals.orderBy(*largest_first(*USER_ORDER)) if ranked else totals
 
 
 def largest_first(by: str, *keys: str) -> list:

@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlift.operators import balance, category_spend, preview, to_silver, top_k, user_totals
-from ledgerlift.operators.gold import largest_first
+from ledgerlift.operators.gold import SPEND_ORDER, USER_ORDER, largest_first
 from ledgerlift.sources import read_bronze, read_silver, write_report, write_table
 
 
@@ -41,11 +41,9 @@ def run(
     if silver_csv:
         write_table(silver, f"{out_path}/silver_csv", "csv")
 
-    by_type, by_category = balance(silver), category_spend(silver)
-    write_report(by_type, f"{out_path}/gold_balance", "tipo_transaccion")
-    write_report(
-        by_category, f"{out_path}/gold_categorias", *largest_first("total_gastado", "categoria")
-    )
+    by_category = category_spend(silver, ranked=False)
+    write_report(balance(silver), f"{out_path}/gold_balance", "tipo_transaccion")
+    write_report(by_category, f"{out_path}/gold_categorias", *largest_first(*SPEND_ORDER))
 
     counts = quality.get
     return JobResult(
@@ -53,8 +51,8 @@ def run(
         filas_silver=counts["filas_silver"],
         filas_descartadas=counts["filas_bronze"] - counts["filas_silver"],
         silver=silver,
-        balance=by_type,
-        category_spend=by_category,
+        balance=balance(silver),
+        category_spend=category_spend(silver),
         user_totals=user_totals(silver),
     )
 
@@ -76,8 +74,8 @@ def main() -> None:
     result.silver.printSchema()
     preview(result.silver, 10, "id_transaccion").show()
     result.balance.show()
-    top_k(result.category_spend, 10, "total_gastado", "categoria").show()
-    top_k(result.user_totals, 10, "monto_total", "id_usuario", "tipo_transaccion").show()
+    top_k(result.category_spend, 10, *SPEND_ORDER).show()
+    top_k(result.user_totals, 10, *USER_ORDER).show()
     spark.stop()
 
 

@@ -1,10 +1,11 @@
 """CSV and Parquet output."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-# A report of up to this many rows (some tens of MB) is written by one task into one file.
-ONE_FILE_ROWS = 1_000_000
+# A report of up to this size is written by one task into one file.
+ONE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -25,19 +26,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_report(
-    df: DataFrame, path: str, *order: Column | str, one_file_rows: int = ONE_FILE_ROWS
+    df: DataFrame, path: str, *order: Column | str, one_file_bytes: int = ONE_FILE_BYTES
 ) -> int:
-    """Write a report as CSV with a header and return its number of rows.
+    """Write a report as CSV with a header, sorted, and return its number of rows.
 
-    Up to ``one_file_rows`` it is one file in the given order. A larger one stays whole and in
-    order, but over several files: a report by category or user grows with the data, and must
-    not be forced through one task.
+    Up to ``one_file_bytes`` it is one file. A larger one stays whole and sorted, but over several
+    files: a report by category or user grows with the data, and must not be forced through one
+    task. The report needs no order of its own; a sort before this one is wasted.
     """
     report = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = report.count()
-        if rows <= one_file_rows:
-            out = report.coalesce(1)  # joins partitions in any order, so sort afterwards
+        line = F.to_csv(F.struct(*report.columns))
+        rows, size = report.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(line)), F.lit(0))
+        ).first()
+        if size <= one_file_bytes:
+            # Sort last, since coalesce may join sorted partitions in any order.
+            out = report.coalesce(1)
             out = out.sortWithinPartitions(*order) if order else out
         else:
             out = report.orderBy(*order) if order else report

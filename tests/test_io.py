@@ -129,7 +129,7 @@ def test_a_large_report_stays_whole_and_sorted(spark, tmp_path):
     report = spark.range(50_000, numPartitions=7).withColumnRenamed("id", "n")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = write_report(report, f"{tmp_path}/r", report.n.desc(), one_file_rows=49_999)
+        rows = write_report(report, f"{tmp_path}/r", report.n.desc(), one_file_bytes=200_000)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = part_files(f"{tmp_path}/r")
