@@ -15,8 +15,9 @@ from ledgerlift.defaults import (
     MOVEMENT_WORDS,
 )
 
-# What each pattern piece can match at most. A year may have a sign and more than four digits.
-_DATE_PIECES = {"yyyy": r"[+-]?\d{4,}", "MMM": ".+", "MM": r"\d\d", "dd": r"\d\d"}
+# What each pattern piece can match at most. A year may have a sign and more than four digits;
+# Spark reads month names in English, all of which have three letters when short.
+_DATE_PIECES = {"yyyy": r"[+-]?\d{4,}", "MMM": ".{3}", "MM": r"\d\d", "dd": r"\d\d"}
 
 
 def parse_money(c: Column, symbols: str = MONEY_SYMBOLS, word: str = CURRENCY_WORD) -> Column:
@@ -40,7 +41,8 @@ def parse_date_multi(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column
     """Text to date by the first format that reads it.
 
     A failed parse costs a Java exception, so each format is only tried on texts of its shape.
-    The shape never rejects a text that the format would read.
+    The shape never rejects a text that the format would read. It also keeps the parsers of other
+    ``spark.sql.legacy.timeParserPolicy`` settings from raising or reading more.
     """
 
     def attempt(fmt: str) -> Column:

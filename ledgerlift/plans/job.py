@@ -32,9 +32,10 @@ def run(
 
     The bronze scan, the cleaning and the row counts are one job without a shuffle. Silver goes
     to Parquet, from which each report reads only its own columns, and which is still there when
-    an executor is lost.
+    an executor is lost. The session's date parser is set to the one that the results depend on.
     """
     spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+    out_path = out_path.rstrip("/")
     quality = Observation("silver_quality")
     write_table(to_silver(read_bronze(spark, in_path), quality), f"{out_path}/silver")
     silver = read_silver(spark, f"{out_path}/silver")

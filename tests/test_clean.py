@@ -162,11 +162,12 @@ def test_shapes_reject_nothing_that_a_format_reads(spark):
     assert checked.read > 500 and checked.long_years and checked.negative_years
 
 
-def test_parser_policy_raises_on_no_probe(spark):
-    spark.conf.set("spark.sql.legacy.timeParserPolicy", "EXCEPTION")
+@pytest.mark.parametrize("policy", ["EXCEPTION", "LEGACY"])
+def test_dates_do_not_depend_on_the_parser_policy(spark, policy):
+    probes = [*DATES, "05-September-2025", "05-sept-2025"]
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", policy)
     try:
-        texts = ["2025-4-5", "5/4/2025", "2025-04-25 10:00:00", " 2025-04-25", "2025-04-25"]
-        read = apply(spark, parse_date_multi, texts)
+        read = apply(spark, parse_date_multi, probes)
     finally:
         spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
-    assert read == {**dict.fromkeys(texts[:-1]), "2025-04-25": APRIL_25}
+    assert read == {probe: DATES.get(probe) for probe in probes}

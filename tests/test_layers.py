@@ -120,9 +120,13 @@ def test_counts_of_no_rows(bronze):
     assert tuple(quality_counts(bronze.limit(0)).first()) == (0, 0, 0)
 
 
-def test_silver_of_two_sources(bronze):
-    both = to_silver(bronze).unionAll(to_silver(bronze))
-    assert both.count() == 2 * len(KEPT)
+def test_silver_can_be_used_many_times_in_a_query(bronze):
+    silver = to_silver(bronze)
+    assert silver.unionAll(to_silver(bronze)).count() == 2 * len(KEPT)
+    ids = silver.filter(F.col("id_transaccion").isNotNull())
+    assert ids.join(silver, "id_transaccion").count() == (len(KEPT) - 1) ** 2
+    largest = silver.agg(F.max("monto")).scalar()
+    assert silver.filter(F.col("monto") == largest).count() == 1
 
 
 def test_balance(any_ansi, silver):
