@@ -4,7 +4,7 @@
 MONEY_SYMBOLS = "$,"
 CURRENCY_WORD = "MXN"
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM-dd-yyyy", "dd-MMM-yyyy", "yyyy/MM/dd")
-LABEL_KEEP = r"\p{Alnum}áéíóúÁÉÍÓÚñÑ "  # \p{Alnum} is a-z, A-Z and 0-9 only
+LABEL_KEEP = r"\p{Alnum}áéíóúÁÉÍÓÚñÑ "  # \p{Alnum} is a-zA-Z0-9, and much faster than that
 INCOME = "INGRESO"
 EXPENSE = "EGRESO"
 MOVEMENT_WORDS = {

@@ -82,3 +82,40 @@ def test_command_line(csv, tmp_path):
     assert "INGRESO" in done.stdout and "USR" not in done.stdout
     assert (tmp_path / "out" / "silver" / "_SUCCESS").exists()
     assert not (tmp_path / "out" / "silver_csv").exists()
+
+
+FLAKY_JOB = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import Observation, SparkSession
+from ledgerlift.fixtures import bronze_from_orders
+from ledgerlift.operators import to_silver
+from ledgerlift.sources import read_silver, write_table
+
+def fail_twice(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() < 2:
+        raise RuntimeError("lost")
+
+spark = SparkSession.builder.getOrCreate()
+bronze = bronze_from_orders(spark, sys.argv[1]).repartition(6)
+quality = Observation()
+silver = to_silver(bronze.mapInPandas(fail_twice, bronze.schema), quality)
+write_table(silver, sys.argv[2])
+print(quality.get["filas_bronze"], quality.get["filas_silver"], read_silver(spark, sys.argv[2]).count())
+"""
+
+
+def test_counts_are_exact_when_tasks_are_lost(spark, tmp_path):
+    """Every task writes its rows and fails, twice; only the third attempt counts."""
+    env = {**os.environ, "PYTHONPATH": str(ROOT), "PYSPARK_SUBMIT_ARGS": (
+        "--master local[4,4] --conf spark.ui.enabled=false "
+        "--conf spark.ui.showConsoleProgress=false pyspark-shell"
+    )}
+    done = subprocess.run(
+        [sys.executable, "-c", FLAKY_JOB, SF_DIR, f"{tmp_path}/silver"],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    bronze, silver, _ = quality_counts(bronze_from_orders(spark, SF_DIR)).first()
+    assert done.stdout.split() == [str(bronze), str(silver), str(silver)]

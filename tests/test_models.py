@@ -1,0 +1,58 @@
+"""Cleaning functions against plain Python models, over generated texts."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from ledgerlift.functions import clean_label, map_synonyms, parse_money
+
+NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?", re.ASCII)
+
+
+def money_model(text):
+    text = text.replace("$", "").replace(",", "")
+    text = re.sub(r"\s*MXN\s*", "", text, flags=re.ASCII).strip(" \t\n")
+    return float(text.rstrip("df")) if NUMBER.fullmatch(text) else None
+
+
+def label_model(text):
+    return re.sub("[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑ ]", "", text).strip(" ")
+
+
+def movement_model(text):
+    words = {
+        "INGRESO": {"ABONO", "INGRESO", "CREDITO", "CR"},
+        "EGRESO": {"CARGO", "EGRESO", "DEBITO", "DB"},
+    }
+    return next((label for label, known in words.items() if text.upper() in known), None)
+
+
+def generated(pieces, longest, n=20_000):
+    pick = random.Random(11)
+    return {"".join(pick.choices(pieces, k=pick.randrange(longest + 1))) for _ in range(n)}
+
+
+def compare(spark, function, model, texts):
+    rows = spark.createDataFrame([(t,) for t in texts], "s string")
+    found = {r.s: r.v for r in rows.select("s", function(F.col("s")).alias("v")).collect()}
+    assert found == {t: model(t) for t in texts}
+    return [v for v in found.values() if v is not None]
+
+
+def test_money(spark):
+    pieces = ["$", ",", " ", "\t", "MXN", " MXN ", "mxn", "M", "XN", "1", "23", "0", ".", "-", "e3", "d"]
+    assert len(compare(spark, parse_money, money_model, generated(pieces, 6))) > 1000
+
+
+def test_label(spark):
+    ranges = [(1, 0x2FF), (0x300, 0x36F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x1F600, 0x1F64F)]
+    pick = random.Random(5)
+    others = [chr(pick.randint(*pick.choice(ranges))) for _ in range(2000)]
+    pieces = [*others, *(list("aZ9 áÑ ") * 200)]
+    compare(spark, clean_label, label_model, generated(pieces, 8))
+
+
+def test_movement(spark):
+    pieces = ["c", "R", "a", "BONO", "bono", "argo", "d", "B", "ebito", "é", " ", "Egreso", "INGRESO"]
+    assert len(set(compare(spark, map_synonyms, movement_model, generated(pieces, 3)))) == 2
