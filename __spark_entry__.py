@@ -118,6 +118,14 @@ def _whole_job(source: Source, report: str) -> Query:
     return query
 
 
+def _whole_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the job observed while it wrote silver."""
+    result = run(spark, _bronze_csv(spark, sf_dir), scratch_path(spark, "job"))
+    counts = result._asdict()
+    names = ("filas_bronze", "filas_silver", "filas_descartadas")
+    return spark.range(1).select(*(F.lit(counts[n]).cast("bigint").alias(n) for n in names))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The whole job on the smallest tables: how much came in and went out?"""
     return _whole_job(bronze_from_orders, "balance")(spark, "/root/testdata/sf0.001")
@@ -148,6 +156,7 @@ def queries() -> dict[str, Query]:
         "balance_report_csv": _balance_report_csv,
         "category_report_csv": _category_report_csv,
         "whole_job_balance": _whole_job(orders, "balance"),
+        "whole_job_counts": _whole_job_counts,
         "whole_job_user_totals": _whole_job(orders, "user_totals"),
         "lineitem_silver": _on_bronze(lineitem, to_silver),
         "lineitem_quality_counts": _on_bronze(lineitem, quality_counts),
@@ -206,7 +215,8 @@ _USERS = f"""
     SELECT id_usuario, tipo_transaccion, {_TOTAL} AS monto_total
     FROM silver GROUP BY id_usuario, tipo_transaccion"""
 _TOP_CATEGORIES = _CATEGORIES + " ORDER BY total_gastado DESC NULLS LAST, categoria LIMIT "
-_TOP_USERS = _USERS + " ORDER BY monto_total DESC NULLS LAST, id_usuario, tipo_transaccion LIMIT 10"
+_TOP_USERS = f"""{_USERS}
+    ORDER BY monto_total DESC NULLS LAST, id_usuario, tipo_transaccion LIMIT 10"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -255,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
         "balance_report_csv": orders(_BALANCE),
         "category_report_csv": orders(_CATEGORIES),
         "whole_job_balance": orders(_BALANCE),
+        "whole_job_counts": orders(_COUNTS),
         "whole_job_user_totals": orders(_USERS),
         "lineitem_silver": lineitem(silver),
         "lineitem_quality_counts": lineitem(_COUNTS),

@@ -8,11 +8,13 @@ def sum_money(c: Column) -> Column:
     """Sum of a double column, exact for amounts of whole cents.
 
     Adding doubles loses cents in big groups and gives another answer after each shuffle or
-    retry. Amounts of whole cents are therefore added as integers; all others as doubles. Should
-    the integers overflow, the plain double sum is the answer. Null if there is no amount.
+    retry. Amounts of whole cents, up to 90 trillion each, are therefore added as integers; all
+    others as doubles. Should the integers overflow, the plain double sum is the answer. Null if
+    there is no amount.
     """
     cents = F.rint(c * 100)
     whole = (F.abs(cents) < 2.0**53) & (cents / 100 == c)
-    exact = (F.try_sum(F.when(whole, cents.cast("bigint"))).cast("decimal(20,0)") / 100).cast("double")
+    total_cents = F.try_sum(F.when(whole, cents.cast("bigint")))
+    exact = (total_cents.cast("decimal(20,0)") / 100).cast("double")
     other = F.sum(F.when(~whole, c))
     return F.coalesce(exact + F.coalesce(other, F.lit(0.0)), F.sum(c))

@@ -171,3 +171,15 @@ def test_dates_do_not_depend_on_the_parser_policy(spark, policy):
     finally:
         spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
     assert read == {probe: DATES.get(probe) for probe in probes}
+
+
+@pytest.mark.parametrize("zone", ["America/Sao_Paulo", "Asia/Kolkata", "America/Mexico_City"])
+def test_dates_do_not_depend_on_the_time_zone(spark, zone):
+    """October 15, 2017 had no midnight in Sao Paulo."""
+    probes = {**DATES, "15/10/2017": date(2017, 10, 15), "0001-01-01": date(1, 1, 1)}
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        read = apply(spark, parse_date_multi, probes)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert read == probes

@@ -102,7 +102,8 @@ bronze = bronze_from_orders(spark, sys.argv[1]).repartition(6)
 quality = Observation()
 silver = to_silver(bronze.mapInPandas(fail_twice, bronze.schema), quality)
 write_table(silver, sys.argv[2])
-print(quality.get["filas_bronze"], quality.get["filas_silver"], read_silver(spark, sys.argv[2]).count())
+written = read_silver(spark, sys.argv[2]).count()
+print(quality.get["filas_bronze"], quality.get["filas_silver"], written)
 """
 
 
