@@ -36,6 +36,12 @@ from ledgerlift.sources import (
     write_table,
 )
 
+try:
+    import corpus_pipeline
+    from ledgerlift.llm import registry as llm
+except ImportError:  # the package llm and its pipeline may be left out
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 Source = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +138,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _job_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Query]:
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
+
+
+def _job_queries() -> dict[str, Query]:
     orders, lineitem = bronze_from_orders, bronze_from_lineitem
     return {
         "parse_money": _cleaned(parse_money, "monto_str", "monto"),
@@ -220,6 +234,10 @@ _TOP_USERS = f"""{_USERS}
 
 
 def oracle_sql() -> dict[str, str]:
+    return _job_oracles() | (llm.oracle_sql() if llm else {})
+
+
+def _job_oracles() -> dict[str, str]:
     def over(rows: str, select: str) -> str:
         return (
             f"WITH bronze_rows AS ({rows}),\n"

@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+# Queries of the package llm have their own tests.
+QUERIES, ORACLES = contract._job_queries(), contract._job_oracles()
 
 
 @pytest.fixture(scope="module")
