@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.common import table
 from ledgerlift.sources import scratch_path
@@ -23,9 +24,15 @@ def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_packed(spark, path).drop("ids")
 
 
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op7_bit_packing": op7_bit_packing,
+        "op8_best_fit": op8_best_fit,
     }
 
 
