@@ -9,14 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
+from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import table
 from ledgerlift.sources import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    return round_trip_digests(
+        table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN
+    )
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as packed files and read back."""
     path = scratch_path(spark, "packed")
@@ -31,6 +40,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_byte_bpe": op3_byte_bpe,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,
     }
