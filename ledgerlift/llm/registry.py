@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import table
+from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each fiftieth vector's five best others."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", quantized(F.col("embedding")).alias("vector")
+    )
+    return top_k_inner(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as packed files and read back."""
     path = scratch_path(spark, "packed")
@@ -38,13 +48,31 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048)
 
 
+_TOP_K_SQL = """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_dot_product(q.vector, c.vector) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM pairs)
+    WHERE rank <= 5"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_top_k": op4_top_k,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_top_k": _TOP_K_SQL}
