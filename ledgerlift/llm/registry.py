@@ -12,6 +12,7 @@ from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import table
+from ledgerlift.llm.quality_rules import quality_rules
 from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
 
@@ -36,6 +37,11 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_inner(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged."""
+    return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as packed files and read back."""
     path = scratch_path(spark, "packed")
@@ -69,6 +75,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
         "op4_top_k": op4_top_k,
+        "op6_quality_rules": op6_quality_rules,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,
     }
