@@ -265,7 +265,11 @@ def features(docs: DataFrame) -> DataFrame:
 def judge(
     featured: DataFrame, references: list[Reference], limits: Limits = Limits()
 ) -> DataFrame:
-    """Rows of :func:`features` with their distances, ``base_failed`` and ``kept``."""
+    """Rows of :func:`features` with their distances, ``base_failed`` and ``kept``.
+
+    Give it written features: a filter on ``kept`` would move Spark to compute them again for the
+    filter.
+    """
     n = F.col("n_words")
     chars = F.aggregate("class_counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
     lang = F.col("lang").cast("string")
