@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
-from ledgerlift.llm.common import table
+from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import quality_rules
 from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
@@ -37,6 +38,27 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_inner(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality labels to learn from: those of documents that are not held out."""
+    return (
+        table(spark, sf_dir, "labels")
+        .where(crc_mod("doc_id", 5) != 0)
+        .select("doc_id", F.col("quality").alias("label"))
+    )
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_model(docs, quality_labels(spark, sf_dir))
+    return score_documents(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        predicted(0.3).alias("predicted"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged."""
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -75,6 +97,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
         "op4_top_k": op4_top_k,
+        "op5_quality_model": op5_quality_model,
         "op6_quality_rules": op6_quality_rules,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,

@@ -1,0 +1,100 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlift.llm import registry
+from ledgerlift.llm.quality_model import (
+    FEATURES,
+    Settings,
+    fit,
+    fit_model,
+    labelled_features,
+    score_documents,
+    text_features,
+)
+
+
+def test_learns_single_features():
+    rng = np.random.default_rng(1)
+    x = rng.uniform(-1, 1, (4000, 3))
+    y = ((x[:, 0] > 0.2) | (x[:, 1] < -0.7)).astype(float)
+    found = fit(x[:3000], y[:3000]).score(x[3000:])
+    assert ((found > 0.5) == y[3000:]).mean() > 0.95
+
+
+def test_learns_an_interaction():
+    rng = np.random.default_rng(2)
+    x = rng.uniform(-1, 1, (6000, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 2] > 0)).astype(float)
+    model = fit(x[:5000], y[:5000], Settings(pair_rounds=80))
+    assert (0, 2) in model.pairs
+    assert ((model.score(x[5000:]) > 0.5) == y[5000:]).mean() > 0.9
+    alone = fit(x[:5000], y[:5000], Settings(pairs=0))
+    assert ((alone.score(x[5000:]) > 0.5) == y[5000:]).mean() < 0.6
+
+
+def test_score_is_the_sum_of_lookups():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 4)).round(1)
+    model = fit(x, (x.sum(axis=1) > 0).astype(float), Settings(rounds=10, pair_rounds=5))
+    for row, score in zip(x[:50], model.score(x[:50]), strict=True):
+        total = model.intercept
+        for k, value in enumerate(row):
+            total += model.tables[k][sum(e <= value for e in model.edges[k])]
+        for (i, j), values in zip(model.pairs, model.pair_tables, strict=True):
+            at = [sum(e <= row[k] for e in model.pair_edges[k]) for k in (i, j)]
+            total += values[at[0], at[1]]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_few_labels():
+    none = np.empty((0, 2))
+    assert fit(none, np.empty(0)).score(np.zeros((3, 2))).tolist() == [0.5] * 3
+    ones = fit(np.zeros((9, 2)), np.ones(9)).score(np.zeros((1, 2)))
+    assert 0.9 < ones[0] <= 1
+
+
+def test_features_of_odd_texts():
+    for text in (b"", b" ", b"\n\n", "é漢".encode(), b"x" * 5000):
+        found = text_features(text)
+        assert len(found) == len(FEATURES) and np.isfinite(found).all()
+
+
+def test_query_on_held_out_labels(spark, sf_dir, documents):
+    rows = {r.doc_id: r for r in registry.queries()["op5_quality_model"](spark, sf_dir).collect()}
+    assert sorted(rows) == sorted(r.doc_id for r in documents.collect())
+    for doc_id, r in rows.items():
+        assert r.held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    labels = [r for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if rows[r.doc_id].held_out]
+    assert len(labels) > 30
+    assert np.mean([rows[r.doc_id].predicted == r.quality for r in labels]) >= 0.95
+    good = [rows[r.doc_id].score for r in labels if r.quality == 1]
+    bad = [rows[r.doc_id].score for r in labels if r.quality == 0]
+    assert np.mean([[g > b for b in bad] for g in good]) >= 0.97
+
+
+def test_labels_are_bounded_and_runs_agree(spark, sf_dir, documents):
+    labels = registry.quality_labels(spark, sf_dir)
+    first = labelled_features(documents, labels, max_rows=50)
+    again = labelled_features(documents.repartition(7), labels.repartition(3), max_rows=50)
+    assert first[0].shape == (50, len(FEATURES))
+    assert (first[0] == again[0]).all() and (first[1] == again[1]).all()
+
+
+def test_odd_rows(spark, odd_documents):
+    labels = spark.createDataFrame(
+        [(0, 1), (3, 0), (3, 0), (4, None), (None, 1), (99, 1)], "doc_id bigint, label int"
+    )
+    docs = odd_documents.withColumn("score", F.lit("theirs"))
+    scored = score_documents(docs, fit_model(docs, labels))
+    assert scored.count() == odd_documents.count()
+    assert scored.schema["score"].dataType.simpleString() == "double"
+    assert scored.where("score is null or score < 0 or score > 1").count() == 0
+
+
+def test_no_rows(spark, no_documents):
+    labels = spark.createDataFrame([], "doc_id bigint, label int")
+    assert score_documents(no_documents, fit_model(no_documents, labels)).count() == 0
