@@ -12,6 +12,7 @@ from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import quality_rules
 from ledgerlift.llm.top_k import quantized, top_k_inner
@@ -76,6 +77,42 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048)
 
 
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that are on many sites."""
+    cleaned = remove_boilerplate(table(spark, sf_dir, "documents"), "source")
+    return cleaned.select("doc_id", "text", "n_lines", "n_boilerplate", "n_removed")
+
+
+_LINE_SPREAD_SQL = r"""
+    WITH split AS (
+        SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents),
+    marked AS (
+        SELECT *, trim(line, ' ') AS key,
+               regexp_matches(line, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+'
+                   || '[\x20\x09-\x0D]+[^\x20\x09-\x0D]+') AS long_enough
+        FROM split),
+    boilerplate AS (
+        SELECT key FROM marked WHERE long_enough
+        GROUP BY key HAVING count(DISTINCT source) >= 5),
+    judged AS (
+        SELECT m.*, m.long_enough AND b.key IS NOT NULL AS bad
+        FROM marked m LEFT JOIN boilerplate b USING (key)),
+    documents_judged AS (
+        SELECT doc_id, any_value(text) AS text, count(*) AS n_lines,
+               count(*) FILTER (bad) AS n_boilerplate,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS rest
+        FROM judged GROUP BY doc_id),
+    decided AS (
+        SELECT *, n_boilerplate > 0
+                  AND length(text) - length(rest) <= 0.5 * length(text) AS cleaned
+        FROM documents_judged)
+    SELECT doc_id, CASE WHEN cleaned THEN rest ELSE text END AS text, n_lines, n_boilerplate,
+           CASE WHEN cleaned THEN n_boilerplate ELSE 0 END AS n_removed
+    FROM decided"""
+
+
 _TOP_K_SQL = """
     WITH vectors AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
@@ -101,8 +138,9 @@ def queries() -> dict[str, Query]:
         "op6_quality_rules": op6_quality_rules,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,
+        "op10_line_spread": op10_line_spread,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": _TOP_K_SQL}
+    return {"op4_top_k": _TOP_K_SQL, "op10_line_spread": _LINE_SPREAD_SQL}
