@@ -12,6 +12,7 @@ from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.jaccard_join import ngram_components
 from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import quality_rules
@@ -24,6 +25,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the components of those that share 85 % of their 4-word shingles."""
+    return ngram_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     return round_trip_digests(
@@ -132,6 +138,7 @@ _TOP_K_SQL = """
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_top_k": op4_top_k,
         "op5_quality_model": op5_quality_model,
