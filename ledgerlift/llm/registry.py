@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlift.llm import backoff_lm
 from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
@@ -25,6 +26,13 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those that are not held out."""
+    return backoff_lm.score_documents(
+        table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2, order=2
+    )
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the components of those that share 85 % of their 4-word shingles."""
     return ngram_components(table(spark, sf_dir, "documents"), n=4, percent=85)
@@ -138,6 +146,7 @@ _TOP_K_SQL = """
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_backoff_lm": op1_backoff_lm,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_top_k": op4_top_k,
