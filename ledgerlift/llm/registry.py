@@ -15,6 +15,7 @@ from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import crc_mod, table
 from ledgerlift.llm.jaccard_join import ngram_components
 from ledgerlift.llm.line_spread import remove_boilerplate
+from ledgerlift.llm.main_text import main_text
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import quality_rules
 from ledgerlift.llm.top_k import quantized, top_k_inner
@@ -91,6 +92,11 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048)
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that are on many sites."""
     cleaned = remove_boilerplate(table(spark, sf_dir, "documents"), "source")
@@ -154,6 +160,7 @@ def queries() -> dict[str, Query]:
         "op6_quality_rules": op6_quality_rules,
         "op7_bit_packing": op7_bit_packing,
         "op8_best_fit": op8_best_fit,
+        "op9_main_text": op9_main_text,
         "op10_line_spread": op10_line_spread,
     }
 
