@@ -6,6 +6,7 @@ pieces between ASCII white space, and each distinct piece has to be encoded only
 
 from __future__ import annotations
 
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -13,31 +14,53 @@ from tokenizers import Tokenizer
 
 ID_TYPE = np.dtype("<u4")
 
+#: ASCII marks. Between a letter and marks alone up to the piece's end two tokens always part. The
+#: apostrophe is left out, since it may begin a token of letters.
+MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != ord("'"))
+LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+
 
 class PieceIds(dict):
-    """Piece of text (UTF-8) to its ids, as little-endian unsigned 32-bit integers.
+    """Piece of text (UTF-8, lower-cased A-Z) to its ids, as little-endian unsigned 32-bit.
 
-    Holds at most ``max_pieces`` short pieces; when full it starts again. A longer piece is
-    encoded each time it comes.
+    The vocabulary has no capitals. Pieces are kept in two generations of at most ``max_pieces``
+    each: when the younger is full, it replaces the older, so that frequent pieces stay. Pieces of
+    more than ``max_bytes`` are encoded each time they come.
     """
 
-    def __init__(self, path: str, max_pieces: int = 600_000, max_bytes: int = 64):
+    def __init__(self, path: str, max_pieces: int = 500_000, max_bytes: int = 64):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.max_pieces, self.max_bytes = max_pieces, max_bytes
+        self.older: dict[bytes, bytes] = {}
+
+    def _encode(self, piece: bytes) -> bytes:
+        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, piece: bytes) -> bytes:
-        encoding = self.tokenizer.encode(piece.decode(), add_special_tokens=False)
-        ids = np.array(encoding.ids, ID_TYPE).tobytes()
-        if len(piece) <= self.max_bytes:
+        ids = self.older.get(piece)
+        keep = len(piece) <= self.max_bytes
+        if ids is None:
+            word = piece.rstrip(MARKS)
+            if len(word) < len(piece) and word and word[-1] in LETTERS:
+                # With its marks a word is kept only if it comes again.
+                keep = keep and word in self
+                ids = self[word] + self[piece[len(word) :]]
+            else:
+                ids = self._encode(piece)
+        if keep:
             if len(self) >= self.max_pieces:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
     def encode(self, text: bytes) -> bytes:
         """All ids of a text, as bytes. ``bytes.split`` splits at ASCII white space alone."""
-        return b"".join(map(self.__getitem__, text.split()))
+        if b"<|" in text:  # may begin a special token, which has to be written just so
+            return b"".join(map(self._encode, text.split()))
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=2)

@@ -73,3 +73,14 @@ def test_no_rows(spark, no_documents):
     path = scratch_path(spark, "none")
     write_packed(no_documents, path, registry.WORD_BPE, end_id=1)
     assert read_packed(spark, path).count() == 0
+
+
+def test_generated_pieces_match_the_library():
+    rng = np.random.default_rng(5)
+    pieces = piece_ids(registry.WORD_BPE)
+    alphabets = ["abC'.,!", "éǺa.'s|<>%$", "<|endoftext|> A.", "x1²ª'tmdre-_`~"]
+    for _ in range(3000):
+        alphabet = list(alphabets[rng.integers(len(alphabets))] + " \n\x1c ")
+        text = "".join(rng.choice(alphabet, rng.integers(1, 30)))
+        ids = np.frombuffer(pieces.encode(text.encode()), "<u4").tolist()
+        assert ids == TOKENIZER.encode(text, add_special_tokens=False).ids, repr(text)
