@@ -40,6 +40,12 @@ def test_nulls(any_ansi):
     assert total(any_ansi, []) is None
 
 
-def test_overflow_falls_back_to_doubles(any_ansi):
-    assert math.isclose(total(any_ansi, [9e13] * 1100), 9e13 * 1100)
-    assert math.isclose(total(any_ansi, [9e13] * 1100 + [0.123456]), 9e13 * 1100)
+def test_totals_beyond_64_bits_are_exact_in_any_order(any_ansi):
+    assert total(any_ansi, [9e13] * 1100) == 9e13 * 1100
+    amounts = [9e13] * 1100 + [0.1] * 1001 + [-9e13] * 1100
+    assert {total(any_ansi, amounts[::step], n) for step in (1, -1) for n in (1, 3, 7)} == {100.1}
+
+
+def test_negative_amounts(any_ansi):
+    assert total(any_ansi, [-0.01, -5.0, 2.5]) == -2.51
+    assert total(any_ansi, [-0.01] * 300) == -3.0
