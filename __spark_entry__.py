@@ -105,7 +105,7 @@ def _silver_export(fmt: str) -> Query:
 def _balance_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold_balance")
     report = balance(to_silver(bronze_from_orders(spark, sf_dir)))
-    write_report(report, path, "tipo_transaccion")
+    write_report(report, path, "tipo_transaccion", one_file=True)
     return read_csv(spark, path, BALANCE)
 
 
@@ -224,13 +224,26 @@ _BALANCE = f"""
     FROM silver GROUP BY tipo_transaccion"""
 _CATEGORIES = f"""
     SELECT categoria, {_TOTAL} AS total_gastado
-    FROM silver WHERE tipo_transaccion = 'EGRESO' GROUP BY categoria"""
+    FROM silver WHERE tipo_transaccion = 'EGRESO' GROUP BY categoria
+    ORDER BY total_gastado DESC NULLS LAST, categoria ASC NULLS LAST"""
 _USERS = f"""
     SELECT id_usuario, tipo_transaccion, {_TOTAL} AS monto_total
-    FROM silver GROUP BY id_usuario, tipo_transaccion"""
-_TOP_CATEGORIES = _CATEGORIES + " ORDER BY total_gastado DESC NULLS LAST, categoria LIMIT "
-_TOP_USERS = f"""{_USERS}
-    ORDER BY monto_total DESC NULLS LAST, id_usuario, tipo_transaccion LIMIT 10"""
+    FROM silver GROUP BY id_usuario, tipo_transaccion
+    ORDER BY monto_total DESC NULLS LAST, id_usuario ASC NULLS LAST, tipo_transaccion"""
+_TOP_CATEGORIES = _CATEGORIES + " LIMIT "
+_TOP_USERS = _USERS + " LIMIT 10"
+
+# The kept characters one by one, not as the class that the library deletes the others of. Fixed
+# values.
+_KEPT = (
+    "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    "áéíóúÁÉÍÓÚñÑ "
+)
+_CLEAN_TEXTS = f"""
+    SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE trim(array_to_string(list_filter(
+        list_transform(range(1, length(text) + 1), lambda i: substr(text, i, 1)),
+        lambda c: contains('{_KEPT}', c)), ''), ' ') END AS categoria
+    FROM documents"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -258,10 +271,7 @@ def _job_oracles() -> dict[str, str]:
         "parse_money": one_column("monto"),
         "parse_date_multi": one_column("fecha"),
         "clean_label": one_column("categoria"),
-        "clean_label_texts": (
-            "SELECT doc_id, trim(regexp_replace(text, '[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑ ]', '', 'g')) "
-            "AS categoria FROM documents"
-        ),
+        "clean_label_texts": _CLEAN_TEXTS,
         "map_movement": one_column("tipo_transaccion"),
         "silver": orders(silver),
         "silver_preview": orders(silver + " ORDER BY ALL LIMIT 10"),

@@ -49,7 +49,10 @@ def parse_date_multi(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column
         parsed, shape = F.try_to_date(c, fmt), _date_shape(fmt)
         return parsed if shape is None else F.when(c.rlike(shape), parsed)
 
-    return F.coalesce(*(attempt(fmt) for fmt in formats))
+    attempts = [attempt(fmt) for fmt in formats]
+    if not attempts:
+        raise ValueError("no date format given")
+    return F.coalesce(*attempts)
 
 
 def clean_label(c: Column, keep: str = LABEL_KEEP) -> Column:
@@ -61,6 +64,10 @@ def clean_label(c: Column, keep: str = LABEL_KEEP) -> Column:
 
 
 def map_synonyms(c: Column, mapping: Mapping[str, Iterable[str]] = MOVEMENT_WORDS) -> Column:
-    """The label whose (upper-case) words hold the text in any case; null if none does."""
-    text = F.upper(c)
-    return reduce(lambda case, item: case.when(text.isin(*item[1]), item[0]), mapping.items(), F)
+    """The label whose words hold the text, both in any case; null if none does."""
+    if not mapping:
+        raise ValueError("no words to map given")
+    text, case = F.upper(c), F
+    for label, words in mapping.items():
+        case = case.when(text.isin(*(w.upper() for w in words)), label)
+    return case

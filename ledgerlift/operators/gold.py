@@ -51,8 +51,13 @@ def top_k(report: DataFrame, n: int, by: str, *keys: str) -> DataFrame:
     return report.orderBy(*largest_first(by, *keys)).limit(n)
 
 
-def preview(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The first n rows by a key; the other columns settle ties."""
+def preview(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
+    """The first n rows by a key; the other columns settle ties.
+
+    Without a key any n rows, which reads no more of the table than it takes to find them.
+    """
+    if key is None:
+        return df.limit(n)
     others = (c for c in df.columns if c != key)
     return df.orderBy(*(F.asc_nulls_last(c) for c in (key, *others))).limit(n)
 

@@ -1,7 +1,5 @@
 """Bronze to silver: typed and cleaned rows, and what was lost on the way."""
 
-from uuid import uuid4
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -40,13 +38,14 @@ def _counts() -> list[Column]:
 def to_silver(bronze: DataFrame, quality: Observation | None = None) -> DataFrame:
     """The complete rows, cleaned.
 
-    Give an ``Observation`` to get the counts of bronze and silver rows from the action that runs
-    silver, without another scan. Rows are observed in any case: Spark moves no filter below an
-    observation, so each cleaning expression runs once per row instead of once for the filter and
-    again for the output. That saves about a third of the time.
+    Without ``quality`` it is a plain filter: further filters reach the scan, and only the columns
+    that are used are cleaned. Give an ``Observation`` to get the counts of bronze and silver rows
+    from the action that runs silver, without another scan. Spark moves no filter below an
+    observation, so then each cleaning expression runs once per row instead of once for the filter
+    and again for the output: the better way to write all of silver.
     """
-    observation = quality or f"silver_quality_{uuid4().hex}"
-    return clean_rows(bronze).observe(observation, *_counts()).filter(is_complete())
+    rows = clean_rows(bronze)
+    return (rows.observe(quality, *_counts()) if quality else rows).filter(is_complete())
 
 
 def quality_counts(bronze: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ledgerlift.sources import read_bronze, read_silver, write_report, write_tab
 
 
 class JobResult(NamedTuple):
-    """Counts of rows, and the layers as lazy tables over the written silver."""
+    """Counts of rows, and the layers as lazy tables over what was written."""
 
     filas_bronze: int
     filas_silver: int
@@ -28,13 +28,13 @@ class JobResult(NamedTuple):
 def run(
     spark: SparkSession, in_path: str, out_path: str, silver_csv: bool = False
 ) -> JobResult:
-    """Read bronze once, write silver, and build the reports from the written silver.
+    """Read bronze once, write silver, and build each report once from the written silver.
 
     The bronze scan, the cleaning and the row counts are one job without a shuffle. Silver goes
     to Parquet, from which each report reads only its own columns, and which is still there when
-    an executor is lost. The session's date parser is set to the one that the results depend on.
+    an executor is lost. The reports go to Parquet under ``gold/``, from which the CSV reports and
+    the result are read. The session's settings are left alone.
     """
-    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
     out_path = out_path.rstrip("/")
     quality = Observation("silver_quality")
     write_table(to_silver(read_bronze(spark, in_path), quality), f"{out_path}/silver")
@@ -42,8 +42,14 @@ def run(
     if silver_csv:
         write_table(silver, f"{out_path}/silver_csv", "csv")
 
-    by_category = category_spend(silver, ranked=False)
-    write_report(balance(silver), f"{out_path}/gold_balance", "tipo_transaccion")
+    def gold(report: DataFrame, name: str) -> DataFrame:
+        write_table(report, f"{out_path}/gold/{name}")
+        return spark.read.schema(report.schema).parquet(f"{out_path}/gold/{name}")
+
+    by_type = gold(balance(silver), "balance")
+    by_category = gold(category_spend(silver, ranked=False), "categorias")
+    by_user = gold(user_totals(silver, ranked=False), "usuarios")
+    write_report(by_type, f"{out_path}/gold_balance", "tipo_transaccion", one_file=True)
     write_report(by_category, f"{out_path}/gold_categorias", *largest_first(*SPEND_ORDER))
 
     counts = quality.get
@@ -52,9 +58,9 @@ def run(
         filas_silver=counts["filas_silver"],
         filas_descartadas=counts["filas_bronze"] - counts["filas_silver"],
         silver=silver,
-        balance=balance(silver),
-        category_spend=category_spend(silver),
-        user_totals=user_totals(silver),
+        balance=by_type,
+        category_spend=by_category.orderBy(*largest_first(*SPEND_ORDER)),
+        user_totals=by_user.orderBy(*largest_first(*USER_ORDER)),
     )
 
 
@@ -73,7 +79,7 @@ def main() -> None:
         f"discarded {result.filas_descartadas}"
     )
     result.silver.printSchema()
-    preview(result.silver, 10, "id_transaccion").show()
+    preview(result.silver, 10).show()
     result.balance.show()
     top_k(result.category_spend, 10, *SPEND_ORDER).show()
     top_k(result.user_totals, 10, *USER_ORDER).show()

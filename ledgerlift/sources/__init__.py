@@ -1,11 +1,13 @@
 from ledgerlift.sources.readers import read_bronze, read_csv, read_silver
-from ledgerlift.sources.scratch import scratch_path
+from ledgerlift.sources.scratch import clear_scratch, scratch_folder, scratch_path
 from ledgerlift.sources.writers import write_report, write_table
 
 __all__ = [
+    "clear_scratch",
     "read_bronze",
     "read_csv",
     "read_silver",
+    "scratch_folder",
     "scratch_path",
     "write_report",
     "write_table",

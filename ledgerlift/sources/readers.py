@@ -11,14 +11,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> D
     """CSV with a header: columns by header name, values that do not fit their type become null.
 
     The header of the first file names the columns. Every other file must have the same header;
-    one with its columns in another order would be read into the wrong columns, so it raises.
+    one with its columns in another order would be read into the wrong columns, so it raises an
+    error that names the file.
     """
     raw = spark.read.options(header=True, enforceSchema=False, **options).csv(path)
+    missing = [name for name in schema.names if name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} among {raw.columns}")
     return raw.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return check_schema(read_csv(spark, path, BRONZE), BRONZE)
+    return read_csv(spark, path, BRONZE)
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -1,11 +1,6 @@
 """CSV and Parquet output."""
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
-
-# A report of up to this size is written by one task into one file.
-ONE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -25,28 +20,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.format(fmt).save(path)
 
 
-def write_report(
-    df: DataFrame, path: str, *order: Column | str, one_file_bytes: int = ONE_FILE_BYTES
-) -> int:
-    """Write a report as CSV with a header, sorted, and return its number of rows.
+def write_report(df: DataFrame, path: str, *order: Column | str, one_file: bool = False) -> None:
+    """Write a report as CSV with a header, sorted.
 
-    Up to ``one_file_bytes`` it is one file. A larger one stays whole and sorted, but over several
-    files: a report by category or user grows with the data, and must not be forced through one
-    task. The report needs no order of its own; a sort before this one is wasted.
+    The caller chooses the layout, and it stays as it is however large the report gets:
+    ``one_file`` is for reports whose size does not grow with the data, such as the balance. Any
+    other is sorted by ranges over as many files as it needs; in the order of their names they hold
+    the order of the report. The report needs no order of its own; a sort before this one is
+    wasted.
     """
-    report = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        line = F.to_csv(F.struct(*report.columns))
-        rows, size = report.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(line)), F.lit(0))
-        ).first()
-        if size <= one_file_bytes:
-            # Sort last, since coalesce may join sorted partitions in any order.
-            out = report.coalesce(1)
-            out = out.sortWithinPartitions(*order) if order else out
-        else:
-            out = report.orderBy(*order) if order else report
-        out.write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        report.unpersist()
-    return rows
+    if one_file:
+        # Sort last, since coalesce may join sorted partitions in any order.
+        out = df.coalesce(1)
+        out = out.sortWithinPartitions(*order) if order else out
+    else:
+        out = df.orderBy(*order) if order else df
+    out.write.mode("overwrite").option("header", True).csv(path)

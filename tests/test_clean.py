@@ -183,3 +183,15 @@ def test_dates_do_not_depend_on_the_time_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert read == probes
+
+
+def test_words_are_found_in_any_case(spark):
+    found = apply(spark, lambda c: map_synonyms(c, {"warm": ["Red", "amber"]}), ["RED", "Amber"])
+    assert set(found.values() if isinstance(found, dict) else found) == {"warm"}
+
+
+def test_nothing_to_map_or_parse_is_an_error():
+    with pytest.raises(ValueError, match="no words"):
+        map_synonyms(F.col("s"), {})
+    with pytest.raises(ValueError, match="no date format"):
+        parse_date_multi(F.col("s"), [])

@@ -1,5 +1,8 @@
 """CSV and Parquet in and out, on new folders."""
 
+import os
+import subprocess
+import sys
 from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
@@ -17,6 +20,7 @@ from ledgerlift.sources import (
     write_table,
 )
 
+ROOT = Path(__file__).resolve().parents[1]
 HEADER = "id_transaccion,id_usuario,monto_str,fecha_operacion,categoria_raw,tipo_movimiento\n"
 
 
@@ -118,46 +122,83 @@ def test_csv_values_that_do_not_fit_become_null(any_ansi, tmp_path):
     assert [tuple(r) for r in rows] == [("a", 1.5), ("b", None)]
 
 
-def test_a_small_report_is_one_sorted_file(spark, tmp_path):
-    report = spark.range(500, numPartitions=7).withColumnRenamed("id", "n")
-    assert write_report(report, f"{tmp_path}/r", report.n.desc()) == 500
+@pytest.mark.parametrize("n", [5, 500, 50_000])
+def test_a_one_file_report_is_one_sorted_file_of_any_size(spark, tmp_path, n):
+    report = spark.range(n, numPartitions=7).withColumnRenamed("id", "n")
+    write_report(report, f"{tmp_path}/r", report.n.desc(), one_file=True)
     (file,) = part_files(f"{tmp_path}/r")
-    assert file.read_text().split() == ["n", *map(str, range(499, -1, -1))]
+    assert file.read_text().split() == ["n", *map(str, range(n - 1, -1, -1))]
 
 
-def test_a_large_report_stays_whole_and_sorted(spark, tmp_path):
-    report = spark.range(50_000, numPartitions=7).withColumnRenamed("id", "n")
+@pytest.mark.parametrize("n", [40, 50_000])
+def test_other_reports_are_sorted_over_their_files_at_any_size(spark, tmp_path, n):
+    report = spark.range(n, numPartitions=7).withColumnRenamed("id", "n")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        rows = write_report(report, f"{tmp_path}/r", report.n.desc(), one_file_bytes=200_000)
+        write_report(report, f"{tmp_path}/r", report.n.desc())
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = part_files(f"{tmp_path}/r")
+    assert len(files) == 4
     values = [int(line) for f in files for line in f.read_text().split()[1:]]
-    assert rows == 50_000 and len(files) > 1
-    assert values == list(range(49_999, -1, -1))
+    assert values == list(range(n - 1, -1, -1))
 
 
 def test_an_empty_report_still_has_its_header(spark, tmp_path):
     report = spark.createDataFrame([], CATEGORY_SPEND)
-    assert write_report(report, f"{tmp_path}/r", "categoria") == 0
+    write_report(report, f"{tmp_path}/r", "categoria", one_file=True)
     (file,) = part_files(f"{tmp_path}/r")
     assert file.read_text() == "categoria,total_gastado\n"
 
 
-def session_with(settings):
-    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
-    return SimpleNamespace(conf=conf)
-
-
-def test_scratch_is_in_the_shared_folder():
-    cluster = session_with({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
-    first, second = scratch_path(cluster, "t"), scratch_path(cluster, "t")
-    assert first != second
-    assert first.startswith("hdfs:///shared/t-") and second.startswith("hdfs:///shared/t-")
+SCRATCH_JOB = """
+import sys
+from pathlib import Path
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+from ledgerlift.sources import clear_scratch, scratch_folder, scratch_path
+
+spark = SparkSession.builder.getOrCreate()
+shared = Path(sys.argv[1])
+assert scratch_path(spark, "t") != scratch_path(spark, "t")
+assert scratch_path(spark, "t").startswith(f"{shared}/ledgerlift-{spark.sparkContext.applicationId}")
+queries = contract._job_queries()
+contract.entry(spark).collect()
+assert list(shared.rglob("*.parquet"))
+clear_scratch(spark)
+assert not list(shared.glob("ledgerlift-*"))  # Spark makes a folder of its own there
+for name in sys.argv[2:]:
+    queries[name](spark, "/root/testdata/sf0.001").collect()
+assert list(shared.rglob("part-*"))
+spark.stop()
+"""
+
+
+def test_nothing_is_left_in_the_shared_folder(tmp_path):
+    names = [
+        "csv_roundtrip", "silver_export", "silver_export_csv", "balance_report_csv",
+        "category_report_csv", "whole_job_balance", "whole_job_counts", "whole_job_user_totals",
+    ]
+    env = {**os.environ, "PYTHONPATH": str(ROOT), "PYSPARK_SUBMIT_ARGS": (
+        "--master local[2] --conf spark.ui.enabled=false "
+        f"--conf spark.checkpoint.dir={tmp_path} pyspark-shell"
+    )}
+    done = subprocess.run(
+        [sys.executable, "-c", SCRATCH_JOB, str(tmp_path), *names],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert not list(tmp_path.glob("ledgerlift-*"))
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    def session(master, application):
+        conf = {"spark.master": master}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
+            sparkContext=SimpleNamespace(applicationId=application),
+        )
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(session_with({"spark.master": "yarn"}), "t")
+        scratch_path(session("yarn", "app-none"), "t")
     assert Path(scratch_path(spark, "t")).parent.is_dir()

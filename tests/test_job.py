@@ -1,5 +1,6 @@
 """The whole job on CSV files."""
 
+import json
 import os
 import subprocess
 import sys
@@ -41,11 +42,11 @@ def test_job(any_ansi, csv, tmp_path):
     assert rows(result.silver) == rows(read_silver(spark, f"{tmp_path}/silver")) == expected
     assert rows(read_silver(spark, f"{tmp_path}/silver_csv", "csv")) == expected
 
+    assert len(list((tmp_path / "gold_balance").glob("part-*.csv"))) == 1
     for folder, schema, report in (
         ("gold_balance", BALANCE, result.balance),
         ("gold_categorias", CATEGORY_SPEND, result.category_spend),
     ):
-        assert len(list((tmp_path / folder).glob("part-*.csv"))) == 1
         assert rows(read_csv(spark, f"{tmp_path}/{folder}", schema)) == rows(report)
 
     written = read_csv(spark, f"{tmp_path}/gold_categorias", CATEGORY_SPEND).collect()
@@ -60,6 +61,52 @@ def test_job(any_ansi, csv, tmp_path):
     assert round(by_user, 2) == round(sum(totals.values()), 2)
 
 
+def test_job_leaves_the_session_alone(spark, csv, tmp_path):
+    policy = "spark.sql.legacy.timeParserPolicy"
+    before = spark.conf.get(policy)
+    spark.conf.set(policy, "EXCEPTION")
+    try:
+        settings = dict(spark.sparkContext.getConf().getAll())
+        result = run(spark, csv, str(tmp_path))
+        assert spark.conf.get(policy) == "EXCEPTION"
+        assert dict(spark.sparkContext.getConf().getAll()) == settings
+        assert rows(result.silver) == rows(to_silver(bronze_from_orders(spark, SF_DIR)))
+    finally:
+        spark.conf.set(policy, before)
+
+
+def scans(events, fmt, folder):
+    """How many scans of files under a folder the finished queries of an event log have."""
+    plans = {}
+    for line in events.read_text().splitlines():
+        event = json.loads(line)
+        if "sparkPlanInfo" in event:
+            plans[event["executionId"]] = event["sparkPlanInfo"]  # the last one is what ran
+
+    def count(node):
+        own = node["nodeName"].startswith(f"Scan {fmt}") and folder in node["metadata"].get("Location", "")
+        return own + sum(map(count, node["children"]))
+
+    return sum(map(count, plans.values()))
+
+
+def test_command_scans_bronze_once_and_silver_little(csv, tmp_path):
+    """Three reports and a preview read silver; nothing is computed twice."""
+    env = {**os.environ, "PYTHONPATH": str(ROOT), "PYSPARK_SUBMIT_ARGS": (
+        "--master local[2] --conf spark.ui.enabled=false --conf spark.eventLog.enabled=true "
+        f"--conf spark.eventLog.dir={tmp_path} --conf spark.eventLog.rolling.enabled=false "
+        "--conf spark.eventLog.compress=false pyspark-shell"
+    )}
+    done = subprocess.run(
+        [sys.executable, "-m", "ledgerlift.plans.job", csv, f"{tmp_path}/out"],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    (events,) = (p for p in tmp_path.iterdir() if p.is_file())
+    assert scans(events, "parquet", f"{tmp_path}/out/silver") == 4
+    assert scans(events, "csv", csv) == 1
+
+
 def test_job_can_run_again(spark, csv, tmp_path):
     first = run(spark, csv, str(tmp_path))
     again = run(spark, csv, str(tmp_path))

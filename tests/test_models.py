@@ -16,6 +16,7 @@ def money_model(text):
     return float(text.rstrip("df")) if NUMBER.fullmatch(text) else None
 
 
+# The characters and words below are fixed values of the vocabulary, spelled out again.
 def label_model(text):
     return re.sub("[^a-zA-Z0-9áéíóúÁÉÍÓÚñÑ ]", "", text).strip(" ")
 

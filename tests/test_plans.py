@@ -3,6 +3,8 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from ledgerlift.operators import (
@@ -17,7 +19,7 @@ from ledgerlift.operators import (
 from ledgerlift.sources import read_bronze, read_silver, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = contract._job_queries()
 
 
 def plan_of(df, run=False):
@@ -46,12 +48,25 @@ def test_no_query_has_python_cross_joins_or_one_task_windows(spark, name):
 
 
 def test_silver_is_one_stage_that_cleans_once(bronze):
-    plan = plan_of(to_silver(bronze))
+    plan = plan_of(to_silver(bronze, Observation()))
     assert "Exchange" not in plan
     for raw in ("monto_str", "categoria_raw"):
         assert len(re.findall(rf"replace\({raw}#", plan)) == 1
 
 
+def test_filters_on_silver_reach_the_scan(bronze, tmp_path):
+    write_table(bronze, f"{tmp_path}/bronze")
+    stored = bronze.sparkSession.read.parquet(f"{tmp_path}/bronze")
+    plan = plan_of(to_silver(stored).filter(F.col("id_usuario") == "7"))
+    assert "EqualTo(id_usuario,7)" in plan
+    assert plan_of(to_silver(stored)) and not re.search("CollectMetrics", plan)
+
+
+def test_equal_silvers_share_an_exchange(bronze):
+    both = balance(to_silver(bronze)).join(balance(to_silver(bronze)), "tipo_transaccion")
+    assert "ReusedExchange" in plan_of(both, run=True)
+
+
 def test_counts_read_only_what_they_need(bronze):
     plan = plan_of(quality_counts(bronze))
     columns = "monto_str:string,fecha_operacion:string,tipo_movimiento:string"
@@ -72,7 +87,7 @@ def test_reports_aggregate_before_the_shuffle(silver, report, columns, exchanges
     assert f"ReadSchema: struct<{columns}>" in plan
     assert plan.count("Exchange ") == exchanges
     shuffle = plan.index("Exchange hashpartitioning")
-    assert "partial_try_sum" in plan[shuffle:] and "partial_try_sum" not in plan[:shuffle]
+    assert "partial_sum" in plan[shuffle:] and "partial_sum" not in plan[:shuffle]
 
 
 def test_expenses_are_pushed_into_the_scan(silver):
