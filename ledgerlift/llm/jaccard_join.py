@@ -3,8 +3,9 @@
 Documents with the same set of n-grams are one class, found by a hash of the set; all that follows
 is between classes. Each class has its n-grams in one order, rare ones first by a counting sketch
 over all documents, and only a prefix is joined on: two sets above the threshold have a common
-n-gram in their prefixes. Length and positional filters drop pairs in the join, a suffix filter
-before the sets are compared, and each pair is compared once.
+n-gram in their prefixes. Length and positional filters drop pairs in the join, then those go that
+share too little of their whole prefixes, a suffix filter comes before the sets are compared, and
+each pair is compared once.
 
 Near copies of one text share their whole prefix, so a pair for each two of them would be a square.
 Instead, the classes that share an n-gram are first compared with one of them, the pivot; links
@@ -37,8 +38,10 @@ from ledgerlift.llm.components import connected_components
 
 #: Counters of the sketch of how many documents have an n-gram. A fixed size, whatever the input.
 SKETCH_BITS = 18
+#: Buckets of document ids of which those with a wanted id are broadcast.
+ID_BUCKETS = 1 << 20
 #: How often classes that share an n-gram are compared with one of them before all are.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _FINISH = np.uint64(0xD6E8FEB86659FD93)
@@ -96,6 +99,11 @@ def index_places(size: Column, percent: int) -> Column:
     return size - needed + 1
 
 
+def _text_hash() -> Column:
+    """Tells texts with one id apart."""
+    return F.xxhash64(text_or_empty().cast("binary"))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("text")
@@ -104,15 +112,15 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """A row per document with its class and size; and per task rows with its sketch."""
-    schema = "doc_id bigint, class bigint, size int, bucket int, n bigint"
-    names = ["doc_id", "class", "size", "bucket", "n"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    schema = "doc_id bigint, text_hash bigint, class bigint, size int, bucket int, n bigint"
+    names = ["doc_id", "text_hash", "class", "size", "bucket", "n"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
     shift = np.uint64(64 - SKETCH_BITS)
 
     def rows(*columns) -> pa.RecordBatch:
         size = next(len(c) for c in columns if c is not None)
         arrays = [
-            pa.nulls(size, t) if c is None else pa.array(c, t)
+            pa.nulls(size, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t)
             for c, t in zip(columns, types, strict=True)
         ]
         return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -126,12 +134,14 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 classes.append(class_of(grams) if len(grams) else None)
                 sizes.append(len(grams))
                 np.add.at(sketch, (grams >> shift).astype(np.int64), 1)
-            yield rows(batch.column("doc_id").to_pylist(), classes, sizes, None, None)
+            ids, hashes = (batch.column(c) for c in ("doc_id", "text_hash"))
+            yield rows(ids, hashes, classes, sizes, None, None)
         used = np.flatnonzero(sketch)
         if len(used):
-            yield rows(None, None, None, used, sketch[used])
+            yield rows(None, None, None, None, used, sketch[used])
 
-    return _texts(docs).mapInArrow(measure, schema)
+    hashed = _texts(docs).withColumn("text_hash", _text_hash())
+    return hashed.mapInArrow(measure, schema)
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -168,28 +178,31 @@ def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Data
     return _texts(docs).mapInArrow(cut, "gram bigint, class bigint, size int, place int")
 
 
-def _grams_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The sets of the classes in ``wanted`` (``class``, ``doc_id`` of one of its documents)."""
+def _texts_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """One text of each class in ``wanted`` (``class``, ``doc_id`` of one of its documents).
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes, sets = [], []
-            columns = (batch.column(c).to_pylist() for c in ("class", "text"))
-            for own, text in zip(*columns, strict=True):
-                grams = shingles(text, n)
-                # Another document may have the same id.
-                if len(grams) and class_of(grams) == own:
-                    classes.append(own)
-                    sets.append(grams.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(sets, pa.binary())],
-                names=["class", "grams"],
-            )
+    The wanted ids fall into a fixed number of buckets, which is all that is broadcast; texts
+    outside them are not shuffled.
+    """
 
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = batch.column("class").to_pylist()
+            grams = (shingles(text, n) for text in batch.column("text").to_pylist())
+            # Another document may have the same id.
+            mine = [
+                bool(len(found)) and class_of(found) == own
+                for own, found in zip(classes, grams, strict=True)
+            ]
+            yield batch.filter(pa.array(mine, pa.bool_()))
+
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).cast("int")
+    buckets = wanted.select(bucket.alias("_bucket")).distinct()
+    texts = _texts(docs).withColumn("_bucket", bucket)
+    few = texts.join(F.broadcast(buckets), "_bucket", "left_semi")
     named = wanted.withColumnRenamed("doc_id", "_id")
-    texts = _texts(docs)
-    rows = texts.join(named, texts["doc_id"].eqNullSafe(named["_id"])).select("class", "text")
-    return rows.mapInArrow(collect, "class bigint, grams binary").dropDuplicates(["class"])
+    rows = few.join(named, few["doc_id"].eqNullSafe(named["_id"])).select("class", "text")
+    return rows.mapInArrow(choose, "class bigint, text binary").dropDuplicates(["class"])
 
 
 def overlap(x: np.ndarray, y: np.ndarray, least: int) -> int:
@@ -212,14 +225,17 @@ def overlap(x: np.ndarray, y: np.ndarray, least: int) -> int:
     return int((large[at] == small).sum())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets reach the threshold, with ``common`` and ``total``."""
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose sets reach the threshold, with ``common`` and ``total``.
+
+    Texts are shuffled, not sets: they are smaller.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = shingles(x, n), shingles(y, n)
                 least = -(-percent * (len(x) + len(y)) // (100 + percent))
                 common = overlap(x, y, least)
                 if common >= least:
@@ -229,8 +245,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "common", "total"]
             )
 
-    left = sets.select(F.col("class").alias("a"), F.col("grams").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("grams").alias("y"))
+    left = texts.select(F.col("class").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("class").alias("b"), F.col("text").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return both.mapInArrow(compare, "a bigint, b bigint, common bigint, total bigint")
 
@@ -249,6 +265,20 @@ def _pairs(small: str, large: str, percent: int) -> Column:
     )
 
 
+def _competitive(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share enough n-grams of their prefixes to reach the threshold still.
+
+    Of two prefixes one ends first in the common order. All that the sets share up to there is in
+    both prefixes; beyond there that set has no more than what its prefix leaves.
+    """
+    left = held.select(F.col("class").alias("a"), F.col("grams").alias("x"), F.col("size").alias("s"))
+    right = held.select(F.col("class").alias("b"), F.col("grams").alias("y"), F.col("size").alias("t"))
+    rest = F.ceil(F.greatest("s", "t") * percent / 100) - 1
+    most = F.size(F.array_intersect("x", "y")) + rest
+    enough = (100 + percent) * most >= least_overlap(F.col("s"), F.col("t"), percent)
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
+
+
 def _named(a: str, b: str) -> list[Column]:
     return [F.col(f"{a}.class").alias("a"), F.col(f"{b}.class").alias("b")]
 
@@ -270,12 +300,13 @@ def ngram_links(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes, links and components of ``docs`` (``doc_id``, ``text``).
 
-    Classes: a row per document with ``doc_id``, ``class`` (null: no n-grams) and ``size``. Links:
+    Classes: a row per document with ``doc_id``, ``text_hash``, ``class`` (null: no n-grams) and
+    ``size``. Links:
     ``a``, ``b``, ``common`` and ``total`` of the pairs that were compared and reach the threshold.
     Components: ``node`` and ``root`` of each linked class. All are written tables.
     """
     measured = written(_sets(docs, n), "sets")
-    classes = measured.where(F.col("size").isNotNull()).select("doc_id", "class", "size")
+    classes = measured.where(F.col("size").isNotNull()).drop("bucket", "n")
     # One number per counter of the sketch goes to the driver, and the sketch to the tasks.
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     used = measured.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -283,16 +314,17 @@ def ngram_links(
     sketch[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
 
     prefixes = written(_prefixes(docs, n, percent, sketch), "prefixes")
-    several = prefixes.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    shared = prefixes.join(several.where("low < high").select("gram"), "gram", "left_semi")
+    several = prefixes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = prefixes.join(several.select("gram"), "gram", "left_semi")
     rows = written(shared.dropDuplicates(["gram", "class"]), "shared-grams")
-    # One document of each class that may have a partner stands for it.
-    wanted = (
-        classes.join(rows.select("class").distinct(), "class", "left_semi")
-        .groupBy("class")
-        .agg(F.min("doc_id").alias("doc_id"))
+    # What each class shares of its prefix: at most the prefix of one document.
+    of_prefix = rows.groupBy("class").agg(
+        F.collect_list("gram").alias("grams"), F.first("size").alias("size")
     )
-    sets = written(_grams_of(docs, wanted, n), "compared-sets")
+    held = written(of_prefix, "held-grams")
+    # One document of each class stands for it.
+    of_class = classes.where(F.col("class").isNotNull()).groupBy("class")
+    first = written(of_class.agg(F.min("doc_id").alias("doc_id")), "classes")
 
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint, common bigint, total bigint")
@@ -304,10 +336,16 @@ def ngram_links(
             found = _across(open_rows, percent)
         else:
             found = _with_pivots(open_rows, percent)
-        pairs = written(found.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        untested = found.distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = written(_competitive(untested, held, percent), "pairs")
         if pairs.isEmpty() and round_ == PIVOT_ROUNDS:
             break
-        new = written(_verified(pairs, sets, percent), "links")
+        compared = pairs.select(F.col("a").alias("class")).unionByName(
+            pairs.select(F.col("b").alias("class"))
+        )
+        wanted = first.join(compared.distinct(), "class", "left_semi")
+        texts = written(_texts_of(docs, written(wanted, "wanted"), n), "compared-texts")
+        new = written(_verified(pairs, texts, n, percent), "links")
         links, tested = links.unionByName(new), tested.unionByName(pairs)
         components = written(connected_components(links), "components")
         if round_ < PIVOT_ROUNDS:
@@ -317,17 +355,24 @@ def ngram_links(
 
 
 def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each n-gram's classes with one of them: the smallest that larger ones may find,
-    among those outside the component of the n-gram's smallest."""
-    findable = rows.where(F.col("place") < index_places(F.col("size"), percent))
-    one = F.struct("size", "class", "place", "root")
-    first = findable.groupBy("gram").agg(F.min(one).alias("first"))
-    # In the first round every class is a component, and the first itself is the pivot.
-    alone = F.col("root") == F.col("class")
-    others = findable.join(first, "gram").where(alone | (F.col("root") != F.col("first.root")))
-    pivots = others.groupBy("gram").agg(F.min(one).alias("p"))
+    """Pairs of each n-gram's classes with one of them, the pivot.
+
+    An edited copy has rare n-grams of its own, so what it shares stands later in its prefix than
+    in the text it was made from: the pivot is the class where the n-gram stands first. Where that
+    one is already linked, it is the first outside its component.
+    """
+    one = F.struct("place", "size", "class", "root")
+    first = rows.groupBy("gram").agg(F.min(one).alias("first"))
+    outside = rows.join(first, "gram").where(F.col("root") != F.col("first.root"))
+    linked = rows.groupBy("gram").agg(F.max(F.col("root") != F.col("class")).alias("linked"))
+    second = outside.groupBy("gram").agg(F.min(one).alias("second")).join(linked, "gram")
+    pivots = first.join(second, "gram").select(
+        "gram", F.when(F.col("linked"), F.col("second")).otherwise(F.col("first")).alias("p")
+    )
     pairs = rows.alias("r").join(pivots, "gram").where(F.col("r.root") != F.col("p.root"))
-    return pairs.where(_pairs("p", "r", percent)).select(*_named("p", "r"))
+    smaller = pairs.where(_pairs("p", "r", percent)).select(*_named("p", "r"))
+    larger = pairs.where(_pairs("r", "p", percent)).select(*_named("r", "p"))
+    return smaller.unionByName(larger)
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
@@ -345,16 +390,21 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     return smaller.unionByName(larger)
 
 
+def _labels(classes: DataFrame, components: DataFrame) -> DataFrame:
+    """``class``, ``root`` and ``component_id`` of each class."""
+    own = classes.where(F.col("class").isNotNull()).groupBy("class")
+    rooted = _with_component(own.agg(F.min("doc_id").alias("least")), components)
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return written(rooted.join(least, "root").select("class", "root", "component_id"), "labels")
+
+
 def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``class_id`` of each document.
 
     ``component_id`` is the smallest ``doc_id`` reachable by links, the document's own included.
     """
     classes, _, components = ngram_links(docs, n, percent)
-    own = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
-    rooted = _with_component(own, components)
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = written(rooted.join(least, "root").select("class", "component_id"), "labels")
+    labels = _labels(classes, components)
     return classes.join(labels, "class", "left").select(
         "doc_id",
         F.col("size").cast("bigint").alias("n_shingles"),
@@ -363,3 +413,28 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFram
         .alias("component_id"),
         F.col("class").alias("class_id"),
     )
+
+
+def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` of which each stands for its component: that of the smallest id.
+
+    Rows without n-grams stay; rows that repeat both id and text become one.
+    """
+    classes, _, components = ngram_links(docs, n, percent)
+    roots = _labels(classes, components).select("class", "root")
+    named = classes.join(roots, "class", "left")
+    with_grams = named.where(F.col("class").isNotNull()).groupBy("root")
+    one = with_grams.agg(
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))).alias("m")
+    ).select(F.col("m.doc_id").alias("_id"), F.col("m.text_hash").alias("_text_hash"))
+    empty = named.where(F.col("class").isNull()).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text_hash")
+    )
+    kept = one.unionByName(empty.distinct())
+    rows = docs.withColumn("_own_hash", _text_hash())
+    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_own_hash"] == kept["_text_hash"])
+    return (
+        rows.join(kept, same, "left_semi")
+        .dropDuplicates(["doc_id", "_own_hash"])
+        .select(*docs.columns)
+    )
