@@ -17,7 +17,7 @@ from ledgerlift.llm.jaccard_join import ngram_components
 from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.main_text import main_text
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
-from ledgerlift.llm.quality_rules import quality_rules
+from ledgerlift.llm.quality_rules import CLASSES, COMMON_WORDS, Limits, quality_rules
 from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
 
@@ -78,7 +78,8 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged."""
-    return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    judged = quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.drop("class_distance", "word_distance")
 
 
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +136,85 @@ _JACCARD_SQL = r"""
     FROM sizes s LEFT JOIN reached r ON s.doc_id = r.a GROUP BY s.doc_id, n_shingles"""
 
 
+def _quality_rules_sql(limits: Limits = Limits()) -> str:
+    """The rules with the same fixed values; windows, classes and distances written as SQL."""
+    classes = [f"len(regexp_replace(t, '[^{c}]+', '', 'g'))" for c in CLASSES.values()]
+    rest = "".join(CLASSES.values())
+    classes.append(f"len(regexp_replace(t, '[{rest}]+', '', 'g'))")
+    words = [f"len(list_filter(words, lambda w: w = '{w}'))" for w in COMMON_WORDS]
+    others = " - ".join(["len(words)", *words])
+
+    def shares(counts: str) -> str:
+        return (
+            f"list_transform({counts}, lambda x: CASE WHEN list_sum({counts}) > 0 "
+            f"THEN x / list_sum({counts}) ELSE 0.0 END)"
+        )
+
+    def averages(counts: str, n: int) -> str:
+        return "[" + ", ".join(f"round(avg({counts}[{i}]), 9)" for i in range(1, n + 1)) + "]"
+
+    def distance(p: str, q: str) -> str:
+        def part(a: str) -> str:
+            return f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({p}[i] + {q}[i])) ELSE 0.0 END"
+
+        terms = f"{part(f'{p}[i]')} + {part(f'{q}[i]')}"
+        total = f"list_sum(list_transform(range(1, len({p}) + 1), lambda i: {terms}))"
+        return f"sqrt(greatest({total} / 2, 0))"
+
+    reference = f"""
+        SELECT lang, {averages("c", len(classes))} AS rc, {averages("w", len(words) + 1)} AS rw"""
+    return rf"""
+    WITH split AS (
+        SELECT doc_id, lang, coalesce(text, '') AS t,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                           lambda w: w <> '') AS words
+        FROM documents),
+    windows AS (
+        SELECT doc_id, unnest(range(1, len(words) - 1)) AS i,
+               unnest(list_transform(range(1, len(words) - 1),
+                   lambda i: array_to_string(words[i:i + 2], ' '))) AS three
+        FROM split WHERE len(words) > 2),
+    often AS (
+        SELECT doc_id, i FROM (
+            SELECT *, count(*) OVER (PARTITION BY doc_id, three) AS n FROM windows) WHERE n > 1),
+    covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM often, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+    counted AS (
+        SELECT doc_id, lang, length(t) AS chars, len(words) AS n_words,
+               length(array_to_string(words, '')) AS word_chars,
+               len(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+               list_filter(string_split(t, chr(10)),
+                           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+               [{", ".join(classes)}] AS classes, [{", ".join([*words, others])}] AS common
+        FROM split),
+    histograms AS (
+        SELECT DISTINCT lang, classes, common FROM counted WHERE n_words >= {limits.min_words}),
+    shared AS (SELECT lang, {shares("classes")} AS c, {shares("common")} AS w FROM histograms),
+    first_references AS ({reference} FROM shared GROUP BY lang),
+    far AS (
+        SELECT s.*, {distance("c", "rc")} + {distance("w", "rw")} AS d
+        FROM shared s JOIN first_references USING (lang)),
+    halves AS (SELECT lang, quantile_disc(d, 0.5) AS middle FROM far GROUP BY lang),
+    language AS ({reference} FROM far JOIN halves USING (lang) WHERE d <= middle GROUP BY lang),
+    measured AS (
+        SELECT k.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words,
+               {distance("p", "rc")} AS class_distance, {distance("q", "rw")} AS word_distance
+        FROM (SELECT *, {shares("classes")} AS p, {shares("common")} AS q FROM counted) k
+        JOIN language USING (lang) LEFT JOIN covered USING (doc_id)),
+    judged AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               chars >= {limits.min_chars} AND class_distance
+                   > {limits.max_class_distance} + {limits.slack} / greatest(chars, 1)
+               OR n_words >= {limits.min_words} AND word_distance
+                   > {limits.max_word_distance} AS diverges
+        FROM measured)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT diverges AS kept
+    FROM judged"""
+
+
 _LINE_SPREAD_SQL = r"""
     WITH split AS (
         SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line,
@@ -201,5 +281,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_jaccard_join": _JACCARD_SQL,
         "op4_top_k": _TOP_K_SQL,
+        "op6_quality_rules": _quality_rules_sql(),
         "op10_line_spread": _LINE_SPREAD_SQL,
     }

@@ -93,7 +93,9 @@ def test_distance(spark):
 
 
 def test_query_matches_brute_force(spark, sf_dir, documents):
-    rows = {r.doc_id: r for r in registry.queries()["op6_quality_rules"](spark, sf_dir).collect()}
+    rows = {r.doc_id: r for r in quality_rules(documents, ["doc_id"]).collect()}
+    query = registry.queries()["op6_quality_rules"](spark, sf_dir)
+    assert {r.doc_id: r.kept for r in query.collect()} == {i: r.kept for i, r in rows.items()}
     references = {r.lang: r for r in fit_references(features(documents))}
     limits = Limits()
     texts = documents.collect()
