@@ -49,6 +49,17 @@ CLASSES = {
 }
 
 
+FEATURES = [
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "class_counts",
+    "word_counts",
+]
+
+
 class Limits(NamedTuple):
     """Guards and thresholds of the two distances."""
 
@@ -306,8 +317,7 @@ def quality_rules(
     with these columns and ``lang``, and read by the fit and by the judgement.
     """
     wanted = list(docs.columns if columns is None else columns)
-    featured = features(docs)
-    results = [c for c in featured.columns if c not in docs.columns]
-    kept = written(featured.select(*dict.fromkeys([*wanted, "lang", *results])), "features")
+    chosen = dict.fromkeys([*wanted, "lang", *FEATURES])
+    kept = written(features(docs).select(*chosen), "features")
     judged = judge(kept, fit_references(kept, limits), limits)
     return judged if "lang" in wanted else judged.drop("lang")

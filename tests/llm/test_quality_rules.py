@@ -143,6 +143,11 @@ def test_odd_rows(odd_documents):
     assert len(rows) == odd_documents.count()
     assert set(odd_documents.columns) <= set(rows[0].asDict())
     assert all(r.base_failed and not r.kept for r in rows if r.n_words < 50)
+    clashing = odd_documents.withColumns({c: F.lit("theirs") for c in ("n_words", "kept", "classes")})
+    for columns in (["doc_id"], None):
+        again = quality_rules(clashing, columns).collect()
+        assert sorted(r.n_words for r in again) == sorted(r.n_words for r in rows)
+        assert {r.kept for r in again} <= {True, False}
 
 
 def test_no_rows(no_documents):
