@@ -19,6 +19,9 @@ from ledgerlift.llm.registry import WORD_BPE, quality_labels, table
 
 #: Documents of a lower score are rejected.
 LEAST_SCORE = 0.3
+#: Words that a worker keeps encoded. Fewer than the packing alone would: Python workers stay while
+#: other stages need the memory.
+KEPT_WORDS = 100_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document in its sequence of at most 2048 tokens."""
-    return pack_documents(docs, WORD_BPE, end_id=0, capacity=2048)
+    return pack_documents(docs, WORD_BPE, end_id=0, capacity=2048, max_pieces=KEPT_WORDS)
 
 
 STAGES = [

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import text_or_empty, written
-from ledgerlift.llm.word_tokens import ID_TYPE, piece_ids
+from ledgerlift.llm.word_tokens import ID_TYPE, MAX_PIECES, piece_ids
 
 
 class Pattern(NamedTuple):
@@ -164,7 +164,12 @@ PIECES = (
 
 
 def cut_pieces(
-    docs: DataFrame, vocabulary_file: str, end_id: int, capacity: int, keep_ids: bool = False
+    docs: DataFrame,
+    vocabulary_file: str,
+    end_id: int,
+    capacity: int,
+    keep_ids: bool = False,
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """Encode each text, add the end id, and cut what is longer than ``capacity``.
 
@@ -185,7 +190,7 @@ def cut_pieces(
     size = ID_TYPE.itemsize
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, part = piece_ids(vocabulary_file), TaskContext.get().partitionId()
+        pieces, part = piece_ids(vocabulary_file, max_pieces), TaskContext.get().partitionId()
         end = np.array([end_id], ID_TYPE).tobytes()
         seen = defaultdict(int)
         for batch in batches:
@@ -220,14 +225,16 @@ def pack_documents(
     end_id: int,
     capacity: int = 2048,
     keep_ids: bool = False,
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """Every piece of every document with its ``sequence_id`` and its ``offset`` there.
 
     The pieces are written once, so that their numbers stay as they are. To the driver go the
     counts of the ``capacity`` lengths at most; the tasks get the plan made of them, whose size
-    depends on ``capacity`` alone.
+    depends on ``capacity`` alone. ``max_pieces`` bounds a worker's cache of encoded words.
     """
-    pieces = written(cut_pieces(docs, vocabulary_file, end_id, capacity, keep_ids), "pieces")
+    cut = cut_pieces(docs, vocabulary_file, end_id, capacity, keep_ids, max_pieces)
+    pieces = written(cut, "pieces")
     # What a task has of one length follows what the tasks before it have.
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1

@@ -28,7 +28,7 @@ class PieceIds(dict):
     more than ``max_bytes`` are encoded each time they come.
     """
 
-    def __init__(self, path: str, max_pieces: int = 500_000, max_bytes: int = 64):
+    def __init__(self, path: str, max_pieces: int, max_bytes: int = 64):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.max_pieces, self.max_bytes = max_pieces, max_bytes
@@ -63,10 +63,14 @@ class PieceIds(dict):
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
-@lru_cache(maxsize=2)
-def piece_ids(path: str) -> PieceIds:
+#: Pieces of a generation, by default: with both full, about 200 MB a worker.
+MAX_PIECES = 500_000
+
+
+@lru_cache(maxsize=1)
+def piece_ids(path: str, max_pieces: int = MAX_PIECES) -> PieceIds:
     """The cache of this worker process, kept from task to task."""
-    return PieceIds(path)
+    return PieceIds(path, max_pieces)
 
 
 @lru_cache(maxsize=2)
