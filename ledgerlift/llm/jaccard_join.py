@@ -18,7 +18,7 @@ Defined cases: words are split at ASCII white space with A-Z lower-cased; a text
 n-grams, links with nothing and is its own component; repeated rows, and rows that share an id with
 different texts, are documents of their own; a null id takes the least id of its component, if
 there is one; an empty table gives no rows; other columns are ignored. N-grams are compared by
-64-bit hashes, and sets by one of these.
+64-bit hashes, and sets and texts by one of these.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ from ledgerlift.llm.components import connected_components
 
 #: Counters of the sketch of how many documents have an n-gram. A fixed size, whatever the input.
 SKETCH_BITS = 18
-#: Buckets of document ids of which those with a wanted id are broadcast.
-ID_BUCKETS = 1 << 20
+#: Buckets of text hashes of which those with a wanted text are broadcast.
+TEXT_BUCKETS = 1 << 20
 #: How often classes that share an n-gram are compared with one of them before all are.
 PIVOT_ROUNDS = 1
 
@@ -178,31 +178,17 @@ def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Data
     return _texts(docs).mapInArrow(cut, "gram bigint, class bigint, size int, place int")
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """One text of each class in ``wanted`` (``class``, ``doc_id`` of one of its documents).
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each class in ``wanted`` (``class``, ``text_hash`` of one of its texts).
 
-    The wanted ids fall into a fixed number of buckets, which is all that is broadcast; texts
-    outside them are not shuffled.
+    The wanted hashes fall into a fixed number of buckets, which is all that is broadcast; texts
+    outside them are not shuffled, and copies of one text meet as one per task.
     """
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes = batch.column("class").to_pylist()
-            grams = (shingles(text, n) for text in batch.column("text").to_pylist())
-            # Another document may have the same id.
-            mine = [
-                bool(len(found)) and class_of(found) == own
-                for own, found in zip(classes, grams, strict=True)
-            ]
-            yield batch.filter(pa.array(mine, pa.bool_()))
-
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).cast("int")
+    bucket = F.pmod(F.col("text_hash"), F.lit(TEXT_BUCKETS)).cast("int")
     buckets = wanted.select(bucket.alias("_bucket")).distinct()
-    texts = _texts(docs).withColumn("_bucket", bucket)
-    few = texts.join(F.broadcast(buckets), "_bucket", "left_semi")
-    named = wanted.withColumnRenamed("doc_id", "_id")
-    rows = few.join(named, few["doc_id"].eqNullSafe(named["_id"])).select("class", "text")
-    return rows.mapInArrow(choose, "class bigint, text binary").dropDuplicates(["class"])
+    texts = _texts(docs).select("text", _text_hash().alias("text_hash"))
+    few = texts.withColumn("_bucket", bucket).join(F.broadcast(buckets), "_bucket", "left_semi")
+    return few.dropDuplicates(["text_hash"]).join(wanted, "text_hash").select("class", "text")
 
 
 def overlap(x: np.ndarray, y: np.ndarray, least: int) -> int:
@@ -322,9 +308,9 @@ def ngram_links(
         F.collect_list("gram").alias("grams"), F.first("size").alias("size")
     )
     held = written(of_prefix, "held-grams")
-    # One document of each class stands for it.
+    # One text of each class stands for it.
     of_class = classes.where(F.col("class").isNotNull()).groupBy("class")
-    first = written(of_class.agg(F.min("doc_id").alias("doc_id")), "classes")
+    first = written(of_class.agg(F.min("text_hash").alias("text_hash")), "classes")
 
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint, common bigint, total bigint")
@@ -344,7 +330,7 @@ def ngram_links(
             pairs.select(F.col("b").alias("class"))
         )
         wanted = first.join(compared.distinct(), "class", "left_semi")
-        texts = written(_texts_of(docs, written(wanted, "wanted"), n), "compared-texts")
+        texts = written(_texts_of(docs, written(wanted, "wanted")), "compared-texts")
         new = written(_verified(pairs, texts, n, percent), "links")
         links, tested = links.unionByName(new), tested.unionByName(pairs)
         components = written(connected_components(links), "components")
