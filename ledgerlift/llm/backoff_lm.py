@@ -36,6 +36,8 @@ from ledgerlift.llm.common import parts_for, text_or_empty, written
 #: Tokens of a chunk, and n-grams asked for in a bucket, about.
 CHUNK_TOKENS = 1_000_000
 BUCKET_KEYS = 500_000
+#: Tokens of the texts whose arcs are in one dictionary at a time.
+REACH_TOKENS = 150_000
 #: Tokens that the shorter context counts for in each state.
 PRIOR = 32.0
 
@@ -190,7 +192,7 @@ class Automaton:
 
     def __init__(
         self, levels: list[Grams], totals: list[np.ndarray], texts: int, tokens: int, types: int,
-        prior: float,
+        prior: float, ready: bool = True,
     ):
         self.width = len(levels[0].hashes)
         order = len(levels)
@@ -202,7 +204,7 @@ class Automaton:
         self.fail_weight = np.zeros(first_state[-1])
         self.fail_to = np.zeros(first_state[-1], np.int64)
         self.fail_weight[1] = np.log10(prior / (texts + prior))
-        arcs, weights, targets = [], [], []
+        arcs, weights, targets, learned = [], [], [], []
         for n, (grams, total) in enumerate(zip(levels, totals, strict=True), 1):
             if n == 1:
                 probability = lower
@@ -213,7 +215,6 @@ class Automaton:
                 state = np.where(
                     grams.context == len(totals[n - 2]), 1, first_state[n - 2] + grams.context
                 )
-            seen = total > 0
             if n < order:
                 own = first_state[n - 1] + np.arange(len(total))
                 with np.errstate(divide="ignore"):
@@ -224,16 +225,38 @@ class Automaton:
                 target = np.zeros(len(total), np.int64)
             else:
                 target = first_state[n - 2] + grams.suffix
-            arcs.append((state * self.width + grams.token)[seen])
-            weights.append(np.log10(probability[seen]))
-            targets.append(target[seen])
+            arcs.append(state * self.width + grams.token)
+            weights.append(np.log10(probability))
+            targets.append(target)
+            learned.append(total > 0)
             lower = probability
         self.start = 1 if order > 1 and texts else 0
-        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs))), strict=True))
-        self.weights = np.concatenate(weights).tolist()
-        self.targets = np.concatenate(targets).tolist()
+        self._levels = levels
+        self._arcs, self._weights, self._targets, self._learned = map(
+            np.concatenate, (arcs, weights, targets, learned)
+        )
+        if ready:
+            self.reach()
         self.fail_weight, self.fail_to = self.fail_weight.tolist(), self.fail_to.tolist()
 
+    def reach(self, low: int = 0, high: int = 0) -> None:
+        """Lay out the arcs that the chunk's positions can take; all of them without positions.
+
+        At a position no arc but those of its own n-grams is looked for.
+        """
+        used = np.arange(len(self._arcs))
+        if high > low:
+            first, found = 0, []
+            for grams in self._levels:
+                at = grams.at[low:high]
+                found.append(first + np.unique(at[at >= 0]))
+                first += len(grams.hashes)
+            used = np.concatenate(found)
+        used = used[self._learned[used]]
+        self.arcs = dict(zip(self._arcs[used].tolist(), range(len(used)), strict=True))
+        self.weights = self._weights[used].tolist()
+        self.targets = self._targets[used].tolist()
+
     def score(self, tokens: list[int]) -> float:
         """log10 probability of a text, in one traversal."""
         find, width, total, state = self.arcs.get, self.width, 0.0, self.start
@@ -333,8 +356,14 @@ def _requests(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
                 counts = np.concatenate([chunk.training_counts(g) for g in levels])
                 by_bucket, ends = _dealt(keys, buckets)
                 keys, counts = keys[by_bucket], counts[by_bucket]
+                # Within a bucket the remainder says nothing: quotients take fewer bits.
                 out = [
-                    (bucket, row["chunk"], squeeze_ascending(keys[low:high]), squeeze(counts[low:high]))
+                    (
+                        bucket,
+                        row["chunk"],
+                        squeeze_ascending(keys[low:high] // buckets),
+                        squeeze(counts[low:high]),
+                    )
                     for bucket, (low, high) in enumerate(zip([0, *ends], ends))
                     if high > low
                 ]
@@ -353,12 +382,13 @@ def _requests(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
     return chunks.mapInArrow(ask, "bucket int, chunk bigint, keys binary, counts binary")
 
 
-def _add_up(asked: pd.DataFrame) -> pd.DataFrame:
+def _add_up(asked: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """One bucket: the totals of its n-grams, sent to each chunk that asked for them.
 
     A row without a chunk has the bucket's number of distinct learned words.
     """
-    keys = [unsqueeze_ascending(x) for x in asked["keys"]]
+    bucket = int(asked["bucket"].iloc[0])
+    keys = [unsqueeze_ascending(x) * buckets + bucket for x in asked["keys"]]
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.concatenate([unsqueeze(x) for x in asked["counts"]])
     totals = np.bincount(place, counts, len(every)).astype(np.int64)
@@ -369,7 +399,7 @@ def _add_up(asked: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "chunk": pd.array([*asked["chunk"], None], "Int64"),
-            "bucket": [*asked["bucket"], asked["bucket"].iloc[0]],
+            "bucket": [*asked["bucket"], bucket],
             "totals": [*replies, b""],
             "n_types": [0] * size + [words],
         }
@@ -396,7 +426,8 @@ def score_documents(
     asked = _requests(chunks, order, buckets)
     replies = written(
         asked.groupBy("bucket").applyInPandas(
-            _add_up, "chunk bigint, bucket int, totals binary, n_types bigint"
+            lambda part: _add_up(part, buckets),
+            "chunk bigint, bucket int, totals binary, n_types bigint",
         ),
         "replies",
     )
@@ -412,11 +443,20 @@ def score_documents(
             own = answers.sort_values("bucket")["totals"]
             totals[by_bucket] = np.concatenate([unsqueeze(x) for x in own])
             totals = np.split(totals, np.cumsum([len(g.hashes) for g in levels])[:-1])
-            automaton = Automaton(levels, totals, texts, learned, types, prior)
+            automaton = Automaton(levels, totals, texts, learned, types, prior, ready=False)
             ends = np.cumsum(chunk.lengths)
             starts = ends - chunk.lengths
             counts = totals[0][chunk.tokens]
             base = np.log10((counts + 1) / (learned + types + 1))
+            scores = []
+            # A part's arcs at a time: those of all the chunk's texts would be a large dictionary.
+            parts = np.unique(starts // REACH_TOKENS, return_index=True)[1]
+            for first, last in zip(parts, [*parts[1:], len(starts)], strict=True):
+                automaton.reach(starts[first], ends[last - 1])
+                scores += [
+                    automaton.score(chunk.tokens[i:j].tolist())
+                    for i, j in zip(starts[first:last], ends[first:last], strict=True)
+                ]
             out.append(
                 pd.DataFrame(
                     {
@@ -428,10 +468,7 @@ def score_documents(
                         "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
                         "train_tokens": learned,
                         "base_score": np.add.reduceat(base, starts),
-                        "score": [
-                            automaton.score(chunk.tokens[i:j].tolist())
-                            for i, j in zip(starts, ends, strict=True)
-                        ],
+                        "score": scores,
                     }
                 )
             )

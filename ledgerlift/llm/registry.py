@@ -30,7 +30,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 def op1_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of those that are not held out."""
     return backoff_lm.score_documents(
-        table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2, order=2
+        table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2, order=3
     )
 
 

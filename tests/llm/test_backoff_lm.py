@@ -108,6 +108,15 @@ def test_query_matches_definition(spark, sf_dir, documents):
     assert held[0] > held[1]
 
 
+def test_query_counts_trigrams(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(list("abcd"), 30)) for _ in range(80)]
+    rows = [(i, t, zlib.crc32(str(i).encode()) % 7 == 2) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    check(registry.queries()["op1_backoff_lm"](spark, str(tmp_path)), rows, 3)
+
+
 def test_odd_rows(odd_documents):
     rows = [(r.doc_id, r.text, r.doc_id == 7) for r in odd_documents.collect()]
     check(score_documents(odd_documents, F.col("doc_id") == 7), rows, 2)
