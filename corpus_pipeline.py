@@ -43,8 +43,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies."""
-    return keep_one(docs, n=4, percent=85)
+    """One document of each group of exact and near copies, which share 80 % of five words."""
+    return keep_one(docs, n=5, percent=80)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,13 @@ def test_same_id_other_text(spark):
     assert len(got) == 2 and (1, "other words here now") in got
     assert {i for i, _ in got} == {1}
 
+
+
+def test_near_copies_share_four_fifths_of_five_words(spark):
+    words = [f"w{i}" for i in range(102)]
+    rows = [(1, " ".join(words[:60])), (2, " ".join(words[:72])), (3, " ".join(words[:60] + words[72:]))]
+    assert {label for _, _, label in brute_force(rows, 4, 85)} == {1, 2, 3}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert kept == {label for _, _, label in brute_force(rows, 5, 80)}
+    assert kept == {1, 3}
