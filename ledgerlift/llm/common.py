@@ -31,12 +31,6 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def text_bytes(docs: DataFrame, column: str = "text") -> int:
-    """Bytes of all texts: one number, from one narrow pass."""
-    total = docs.agg(F.sum(F.octet_length(F.col(column)).cast("bigint"))).first()[0]
-    return int(total or 0)
-
-
 def parts_for(amount: float, each: float) -> int:
     """How many parts of about ``each`` an ``amount`` needs; one at least."""
     return max(1, math.ceil(amount / each))
@@ -46,3 +40,19 @@ def crc_mod(column: str, n: int) -> Column:
     """crc32 of a column as text, modulo ``n``. Null counts as the empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % n
+
+
+def join_by_frequency(rows: DataFrame, facts: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` inner-joined with ``facts``, which has each ``key`` once and how many rows have it.
+
+    Keys with over a thousandth of the rows would fill one task each. There are fewer than a
+    thousand of them, so their facts are broadcast, whatever the size of the tables; the others are
+    shuffled. ``facts`` should be a written table, as it is read three times. ``count`` is dropped.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    frequent = F.col(count) * 1000 > total
+    hot = F.broadcast(facts.where(frequent).drop(count))
+    cold = facts.where(~frequent).drop(count)
+    of_hot = rows.join(hot, key)
+    of_cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return of_hot.unionByName(of_cold)

@@ -18,6 +18,7 @@ from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.main_text import main_text
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import CLASSES, COMMON_WORDS, Limits, quality_rules
+from ledgerlift.llm.simhash_join import simhash_components
 from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
 
@@ -105,6 +106,11 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_boilerplate", "n_removed")
 
 
+def op11_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the components of fingerprints at most two bits apart."""
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 _JACCARD_SQL = r"""
     WITH RECURSIVE split AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -274,6 +280,7 @@ def queries() -> dict[str, Query]:
         "op8_best_fit": op8_best_fit,
         "op9_main_text": op9_main_text,
         "op10_line_spread": op10_line_spread,
+        "op11_simhash_join": op11_simhash_join,
     }
 
 
