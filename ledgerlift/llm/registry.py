@@ -13,6 +13,7 @@ from ledgerlift.llm.best_fit import pack_documents
 from ledgerlift.llm.bit_packing import read_packed, write_packed
 from ledgerlift.llm.byte_bpe import round_trip_digests
 from ledgerlift.llm.common import crc_mod, table
+from ledgerlift.llm.conversation_repair import damage, repair_conversations
 from ledgerlift.llm.jaccard_join import ngram_components
 from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.main_text import main_text
@@ -111,6 +112,20 @@ def op11_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    given = rows.select("conv_id").distinct()
+    found = repair_conversations(damage(rows)).withColumnRenamed("conv_id", "_conv_id")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return given.join(found, given["conv_id"].eqNullSafe(found["_conv_id"]), "left").select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 _JACCARD_SQL = r"""
     WITH RECURSIVE split AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -281,6 +296,7 @@ def queries() -> dict[str, Query]:
         "op9_main_text": op9_main_text,
         "op10_line_spread": op10_line_spread,
         "op11_simhash_join": op11_simhash_join,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
