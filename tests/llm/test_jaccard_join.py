@@ -123,13 +123,14 @@ def test_suffix_filter_never_drops_a_match():
             assert got == common or (got == -1 and common < least)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
 @pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+def test_components(spark, seed, few):
     rng = random.Random(seed)
     links = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)]
     links += [(100 + i, 101 + i) for i in range(40)] + [(300, 200 + i) for i in range(50)]
     df = spark.createDataFrame(links, "a bigint, b bigint")
-    got = {r.node: r.root for r in connected_components(df).collect()}
+    got = {r.node: r.root for r in connected_components(df, few).collect()}
     labels = least_reachable(400, links, range(400))
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert got == {i: labels[i] for i in nodes}
