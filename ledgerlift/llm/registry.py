@@ -17,6 +17,7 @@ from ledgerlift.llm.conversation_repair import damage, repair_conversations
 from ledgerlift.llm.jaccard_join import ngram_components
 from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.main_text import main_text
+from ledgerlift.llm.merkle_manifest import merkle_manifest
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
 from ledgerlift.llm.quality_rules import CLASSES, COMMON_WORDS, Limits, quality_rules
 from ledgerlift.llm.simhash_join import simhash_components
@@ -126,6 +127,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their proofs, each seventh or so tampered with."""
+    decimal = F.col("doc_id").cast("string").cast("binary")
+    return merkle_manifest(table(spark, sf_dir, "documents"), F.crc32(decimal) % 7 == 0)
+
+
 _JACCARD_SQL = r"""
     WITH RECURSIVE split AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -297,6 +304,7 @@ def queries() -> dict[str, Query]:
         "op10_line_spread": op10_line_spread,
         "op11_simhash_join": op11_simhash_join,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
