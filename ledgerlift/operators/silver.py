@@ -7,15 +7,28 @@ from ledgerlift.functions import clean_label, map_synonyms, parse_date_multi, pa
 
 
 def clean_rows(bronze: DataFrame) -> DataFrame:
-    """Every bronze row with silver's columns; what cannot be read is null."""
-    return bronze.select(
-        "id_transaccion",
-        "id_usuario",
+    """Every bronze row with silver's columns; what cannot be read is null.
+
+    The three columns that decide whether a row is complete are bound once per row, as the fields of
+    a generated row. A plain projection would not do: Spark moves filters below it and then computes
+    each expression twice, for the filter and for the output. Filters on the ids still reach the scan.
+    """
+    needed = F.struct(
         parse_money(F.col("monto_str")).alias("monto"),
         parse_date_multi(F.col("fecha_operacion")).alias("fecha"),
-        clean_label(F.col("categoria_raw")).alias("categoria"),
         map_synonyms(F.col("tipo_movimiento")).alias("tipo_transaccion"),
     )
+    bound = bronze.select(
+        "id_transaccion", "id_usuario", "categoria_raw", F.inline(F.array(needed))
+    )
+    return bound.select(
+        "id_transaccion",
+        "id_usuario",
+        "monto",
+        "fecha",
+        clean_label(F.col("categoria_raw")).alias("categoria"),
+        "tipo_transaccion",
+    )
 
 
 def is_complete() -> Column:
@@ -36,13 +49,11 @@ def _counts() -> list[Column]:
 
 
 def to_silver(bronze: DataFrame, quality: Observation | None = None) -> DataFrame:
-    """The complete rows, cleaned.
+    """The complete rows, cleaned, each value once; labels only in rows that stay.
 
-    Without ``quality`` it is a plain filter: further filters reach the scan, and only the columns
-    that are used are cleaned. Give an ``Observation`` to get the counts of bronze and silver rows
-    from the action that runs silver, without another scan. Spark moves no filter below an
-    observation, so then each cleaning expression runs once per row instead of once for the filter
-    and again for the output: the better way to write all of silver.
+    Filters on the ids reach the scan, and columns that are not used are not read. Give an
+    ``Observation`` to get the counts of bronze and silver rows from the action that runs silver,
+    without another scan; Spark moves no filter below an observation.
     """
     rows = clean_rows(bronze)
     return (rows.observe(quality, *_counts()) if quality else rows).filter(is_complete())

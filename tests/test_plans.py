@@ -47,19 +47,50 @@ def test_no_query_has_python_cross_joins_or_one_task_windows(spark, name):
     assert not re.search(r"Python|Pandas|ArrowEval|Cartesian|NestedLoop|Window|Broadcast", plan)
 
 
-def test_silver_is_one_stage_that_cleans_once(bronze):
-    plan = plan_of(to_silver(bronze, Observation()))
+def cleaning_counts(plan):
+    """How often the plan has each cleaning expression: money, labels, dates, movements."""
+    patterns = (r"replace\(monto_str#", r"regexp_replace\(categoria_raw#", "yyyy/MM/dd", r"upper\(tipo_")
+    return [len(re.findall(p, plan)) for p in patterns]
+
+
+@pytest.fixture(scope="module")
+def stored(bronze, tmp_path_factory):
+    path = f"{tmp_path_factory.mktemp('plans')}/bronze"
+    write_table(bronze, path)
+    return bronze.sparkSession.read.parquet(path)
+
+
+@pytest.mark.parametrize("quality", [None, Observation()], ids=["plain", "observed"])
+def test_silver_is_one_stage_that_cleans_once(bronze, quality):
+    plan = plan_of(to_silver(bronze, quality))
     assert "Exchange" not in plan
-    for raw in ("monto_str", "categoria_raw"):
-        assert len(re.findall(rf"replace\({raw}#", plan)) == 1
+    # Two branches of the movement's vocabulary.
+    assert cleaning_counts(plan) == [1, 1, 1, 2]
+
 
+def test_reports_on_bronze_clean_once_and_only_what_they_need(stored):
+    spend = plan_of(category_spend(to_silver(stored)))
+    assert cleaning_counts(spend) == [1, 1, 1, 2]
+    totals = plan_of(balance(to_silver(stored)))
+    assert cleaning_counts(totals) == [1, 0, 1, 2]
+    assert "categoria_raw" not in totals
 
-def test_filters_on_silver_reach_the_scan(bronze, tmp_path):
-    write_table(bronze, f"{tmp_path}/bronze")
-    stored = bronze.sparkSession.read.parquet(f"{tmp_path}/bronze")
+
+def test_made_up_mess_is_made_once(spark):
+    plan = plan_of(QUERIES["lineitem_silver"](spark, SF_DIR))
+    assert plan.count("date_format(") == 5 and plan.count("gettimestamp(") == 5
+
+
+def test_filters_on_silver_reach_the_scan(stored):
     plan = plan_of(to_silver(stored).filter(F.col("id_usuario") == "7"))
     assert "EqualTo(id_usuario,7)" in plan
-    assert plan_of(to_silver(stored)) and not re.search("CollectMetrics", plan)
+    assert cleaning_counts(plan) == [1, 1, 1, 2]
+    assert not re.search("CollectMetrics", plan)
+
+
+def test_labels_are_cleaned_in_rows_that_stay(stored):
+    plan = plan_of(to_silver(stored))
+    assert plan.index("regexp_replace(categoria_raw#") < plan.index("Filter") < plan.index("Generate")
 
 
 def test_equal_silvers_share_an_exchange(bronze):
