@@ -1,3 +1,4 @@
+from ledgerlift.operators.exact import exact_sums
 from ledgerlift.operators.gold import (
     balance,
     category_spend,
@@ -13,6 +14,7 @@ __all__ = [
     "balance",
     "category_spend",
     "clean_rows",
+    "exact_sums",
     "expense_rows",
     "is_complete",
     "preview",

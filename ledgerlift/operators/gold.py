@@ -5,39 +5,43 @@ from pyspark.sql import functions as F
 
 from ledgerlift.defaults import EXPENSE
 from ledgerlift.functions import sum_money
+from ledgerlift.operators.exact import exact_sums
 
 # The measure that ranks a report, then the keys that settle ties.
 SPEND_ORDER = ("total_gastado", "categoria")
 USER_ORDER = ("monto_total", "id_usuario", "tipo_transaccion")
 
 
-def balance(silver: DataFrame) -> DataFrame:
+def _totals(
+    silver: DataFrame, keys: list[str], name: str, exact: bool, counted: dict[str, str] | None = None
+) -> DataFrame:
+    """Money per group, to the cent. ``exact`` adds amounts of any kind without loss."""
+    if exact:
+        totals = exact_sums(silver, keys, "monto", name, counted)
+        return totals.withColumn(name, F.round(name, 2))
+    counts = [F.count(c).alias(out) for out, c in (counted or {}).items()]
+    return silver.groupBy(*keys).agg(F.round(sum_money(F.col("monto")), 2).alias(name), *counts)
+
+
+def balance(silver: DataFrame, exact: bool = False) -> DataFrame:
     """Total and number of operations per movement type. Operations without an id do not count."""
-    return silver.groupBy("tipo_transaccion").agg(
-        F.round(sum_money(F.col("monto")), 2).alias("total_monto"),
-        F.count("id_transaccion").alias("total_operaciones"),
-    )
+    counted = {"total_operaciones": "id_transaccion"}
+    return _totals(silver, ["tipo_transaccion"], "total_monto", exact, counted)
 
 
 def expense_rows(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("tipo_transaccion") == EXPENSE)
 
 
-def category_spend(silver: DataFrame, ranked: bool = True) -> DataFrame:
+def category_spend(silver: DataFrame, ranked: bool = True, exact: bool = False) -> DataFrame:
     """Expenses per category, the largest first. Null and empty categories are groups too."""
-    spend = (
-        expense_rows(silver)
-        .groupBy("categoria")
-        .agg(F.round(sum_money(F.col("monto")), 2).alias("total_gastado"))
-    )
+    spend = _totals(expense_rows(silver), ["categoria"], "total_gastado", exact)
     return spend.orderBy(*largest_first(*SPEND_ORDER)) if ranked else spend
 
 
-def user_totals(silver: DataFrame, ranked: bool = True) -> DataFrame:
+def user_totals(silver: DataFrame, ranked: bool = True, exact: bool = False) -> DataFrame:
     """Total per user and movement type, the largest first."""
-    totals = silver.groupBy("id_usuario", "tipo_transaccion").agg(
-        F.round(sum_money(F.col("monto")), 2).alias("monto_total")
-    )
+    totals = _totals(silver, ["id_usuario", "tipo_transaccion"], "monto_total", exact)
     return totals.orderBy(*largest_first(*USER_ORDER)) if ranked else totals
 
 
