@@ -1,5 +1,6 @@
 """CSV and Parquet in and out, on new folders."""
 
+import gzip
 import os
 import subprocess
 import sys
@@ -8,6 +9,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlift.operators import quality_counts
 from ledgerlift.schemas import BRONZE, CATEGORY_SPEND, SILVER
@@ -15,6 +17,7 @@ from ledgerlift.sources import (
     read_bronze,
     read_csv,
     read_silver,
+    replace_folder,
     scratch_path,
     write_report,
     write_table,
@@ -62,24 +65,83 @@ def test_files_share_a_header(spark, tmp_path):
     assert sorted(r[0] for r in rows) == ["1", "2"]
 
 
-@pytest.mark.parametrize(
-    "other",
-    [
-        HEADER.replace("id_transaccion,id_usuario", "id_usuario,id_transaccion"),
-        HEADER.replace("monto_str,fecha_operacion", "fecha_operacion,monto_str"),
-        HEADER.replace("categoria_raw,", ""),
-        HEADER.replace(",tipo_movimiento", ""),
-        "otra," + HEADER,
-    ],
-    ids=["ids swapped", "values swapped", "column gone", "last column gone", "column added"],
-)
-def test_a_file_with_another_header_is_not_misread(spark, tmp_path, other):
-    row = "a,b,$1,2025-04-25,Renta,cargo\n"
+OTHER_HEADERS = {
+    "ids swapped": HEADER.replace("id_transaccion,id_usuario", "id_usuario,id_transaccion"),
+    "values swapped": HEADER.replace("monto_str,fecha_operacion", "fecha_operacion,monto_str"),
+    "column added": "otra," + HEADER,
+    "reversed": ",".join(reversed(BRONZE.names)) + "\n",
+    "quoted": ",".join(f'"{name}"' for name in BRONZE.names) + "\n",
+}
+FEWER_COLUMNS = {
+    "column gone": HEADER.replace("categoria_raw,", ""),
+    "last column gone": HEADER.replace(",tipo_movimiento", ""),
+    "column renamed": HEADER.replace("monto_str", "importe"),
+}
+VALUES = {
+    "id_transaccion": "{}", "id_usuario": "u", "monto_str": "$1", "fecha_operacion": "2025-04-25",
+    "categoria_raw": "Renta", "tipo_movimiento": "cargo", "otra": "x",
+}
+
+
+def file_of(header, *ids):
+    """A CSV file of rows that differ in their ids, with its columns in the header's order."""
+    row = ",".join(VALUES[name.strip('"')] for name in header.strip().split(","))
+    return header + "".join(row.format(i) + "\n" for i in ids)
+
+
+def row_of(i):
+    return (str(i), "u", "$1", "2025-04-25", "Renta", "cargo")
+
+
+@pytest.mark.parametrize("other", OTHER_HEADERS.values(), ids=OTHER_HEADERS)
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path, other):
+    files = [file_of(HEADER, 1, 2), file_of(other, 3), file_of(HEADER, 4), file_of(other, 5), ""]
+    assert sorted(bronze_of(spark, tmp_path, *files)) == [row_of(i) for i in range(1, 6)]
+
+
+def test_one_scan_a_header_and_each_file_in_one(spark, tmp_path):
+    headers = [HEADER, *OTHER_HEADERS.values()]
+    for k, header in enumerate(headers * 3):
+        (tmp_path / f"f {k} [x]%20,{{1}}.csv").write_text(file_of(header, k))
+    bronze = read_bronze(spark, str(tmp_path))
+    assert sorted(int(r.id_transaccion) for r in bronze.collect()) == list(range(3 * len(headers)))
+    plan = bronze._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == len(headers)
+    assert plan.count("InMemoryFileIndex(3 paths)") == len(headers)
+
+
+def test_compressed_files_and_blank_first_lines(spark, tmp_path):
+    (tmp_path / "1.csv.gz").write_bytes(gzip.compress(file_of(HEADER, 1).encode()))
+    (tmp_path / "2.csv.gz").write_bytes(gzip.compress(file_of(OTHER_HEADERS["reversed"], 2).encode()))
+    (tmp_path / "3.csv").write_text("\n\n" + file_of(HEADER, 3))
+    (tmp_path / "_ignored.csv").write_text("nothing\n")
+    assert sorted(map(tuple, read_bronze(spark, str(tmp_path)).collect())) == [row_of(i) for i in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("other", FEWER_COLUMNS.values(), ids=FEWER_COLUMNS)
+def test_a_file_without_a_column_is_named(spark, tmp_path, other):
+    with pytest.raises(ValueError, match="1.csv: no column"):
+        VALUES["importe"] = "$1"
+        bronze_of(spark, tmp_path, file_of(HEADER, 1), file_of(other, 2))
+
+
+@pytest.mark.parametrize("other", [*OTHER_HEADERS.values()][:3] + [*FEWER_COLUMNS.values()][:2])
+def test_without_a_look_at_the_headers_a_different_one_raises(spark, tmp_path, other):
+    for i, header in enumerate((HEADER, other)):
+        (tmp_path / f"{i}.csv").write_text(file_of(header, i))
+    bronze = read_bronze(spark, str(tmp_path), by_file=False)
     with pytest.raises(Exception, match="CSV header|Number of column in CSV header"):
-        bronze_of(spark, tmp_path, HEADER + row, other + row)
+        bronze.collect()
     if "id_usuario,id_transaccion" not in other:  # the counts read no ids
         with pytest.raises(Exception, match="CSV header"):
-            quality_counts(read_bronze(spark, str(tmp_path))).collect()
+            quality_counts(bronze).collect()
+
+
+def test_equal_headers_are_one_scan(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(file_of(HEADER, i))
+    plan = read_bronze(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Union" not in plan
 
 
 def test_a_missing_column_is_an_error(spark, tmp_path):
@@ -116,6 +178,51 @@ def test_tables_are_overwritten(spark, tmp_path):
     assert read_silver(spark, f"{tmp_path}/silver").count() == 1
 
 
+def failing(df):
+    """The rows, of which the last raises an error when it is written."""
+    message = F.raise_error(F.lit("broken row")).cast("string")
+    return df.withColumn("categoria", F.when(F.col("id_transaccion") == "T3", message).otherwise("c"))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_write_that_fails_leaves_the_old_answer(spark, tmp_path, fmt):
+    table = spark.createDataFrame(SILVER_ROWS, SILVER).repartition(3)
+    write_table(table, f"{tmp_path}/silver", fmt)
+    before = sorted(map(tuple, read_silver(spark, f"{tmp_path}/silver", fmt).collect()))
+    for write in (
+        lambda df: write_table(df, f"{tmp_path}/silver", fmt),
+        lambda df: write_report(df, f"{tmp_path}/silver", "id_transaccion", one_file=True),
+        lambda df: write_report(df, f"{tmp_path}/silver", "id_transaccion"),
+    ):
+        with pytest.raises(Exception, match="broken row"):
+            write(failing(table))
+    assert sorted(map(tuple, read_silver(spark, f"{tmp_path}/silver", fmt).collect())) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["silver"]
+    with pytest.raises(Exception, match="broken row"):
+        write_table(failing(table), f"{tmp_path}/new")
+    assert not (tmp_path / "new").exists()
+
+
+def test_a_table_may_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    write_table(spark.createDataFrame(SILVER_ROWS, SILVER), f"{tmp_path}/silver")
+    write_table(read_silver(spark, f"{tmp_path}/silver").limit(2), f"{tmp_path}/silver")
+    assert read_silver(spark, f"{tmp_path}/silver").count() == 2
+
+
+def test_a_failed_move_is_undone(spark, tmp_path):
+    write_table(spark.range(3), f"{tmp_path}/t")
+    with pytest.raises(Exception):  # noqa: B017
+        replace_folder(spark, f"{tmp_path}/none", f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_writing_in_place(spark, tmp_path):
+    for n in (3, 5):
+        write_table(spark.range(n), f"{tmp_path}/t", in_place=True)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
+
+
 def test_csv_values_that_do_not_fit_become_null(any_ansi, tmp_path):
     (tmp_path / "r.csv").write_text("total_gastado,categoria\n1.5,a\nmuch,b\n")
     rows = read_csv(any_ansi, str(tmp_path), CATEGORY_SPEND).collect()
