@@ -16,9 +16,11 @@ from ledgerlift.functions import clean_label, map_synonyms, parse_date_multi, pa
 from ledgerlift.operators import (
     balance,
     category_spend,
+    exact_sums,
     expense_rows,
     preview,
     quality_counts,
+    schema_report,
     share_of_total,
     to_silver,
     top_k,
@@ -39,7 +41,9 @@ from ledgerlift.sources import (
 try:
     import corpus_pipeline
     from ledgerlift.llm import registry as llm
-except ImportError:  # the package llm and its pipeline may be left out
+except ModuleNotFoundError as error:  # the package llm and its pipeline may be left out
+    if error.name != "corpus_pipeline" and (error.name or "").split(".")[:2] != ["ledgerlift", "llm"]:
+        raise
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +97,42 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(read_bronze(spark, _bronze_csv(spark, sf_dir)))
 
 
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from a folder whose files have their columns in three orders, one with one more."""
+    folder = scratch_path(spark, "mixed")
+    bronze = bronze_from_orders(spark, sf_dir)
+    names, part = bronze.columns, F.pmod(F.hash("id_transaccion"), F.lit(3))
+    headers = [names, names[::-1], [*names[3:], "nota", *names[:3]]]
+    for k, header in enumerate(headers):
+        rows = bronze.where(part == k).withColumn("nota", F.lit("x")).select(*header)
+        rows.write.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{folder}/k={k}")
+    return to_silver(read_bronze(spark, folder))
+
+
+def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze cleaned in the place where it was: the new table is complete before the old one goes."""
+    path = scratch_path(spark, "table")
+    write_table(bronze_from_orders(spark, sf_dir), path)
+    write_table(to_silver(spark.read.parquet(path)), path)
+    return read_silver(spark, path)
+
+
+def _discounted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with many binary places, added without loss."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    totals = exact_sums(
+        lineitem.withColumn("amount", amount),
+        ["l_returnflag", "l_linestatus"],
+        "amount",
+        "total",
+        {"operations": "l_orderkey"},
+    )
+    return totals.withColumn("total", F.round("total", 4))
+
+
 def _silver_export(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "silver")
@@ -106,6 +146,8 @@ def _balance_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold_balance")
     report = balance(to_silver(bronze_from_orders(spark, sf_dir)))
     write_report(report, path, "tipo_transaccion", one_file=True)
+    if len(files := spark.read.text(path).inputFiles()) != 1:
+        raise AssertionError(f"one file expected, found {files}")
     return read_csv(spark, path, BALANCE)
 
 
@@ -164,7 +206,14 @@ def _job_queries() -> dict[str, Query]:
         "gold_user_totals": _on_silver(orders, user_totals),
         "top10_users": _on_silver(orders, _top_users),
         "balance_share": _on_silver(orders, _balance_share),
+        "gold_balance_exact": _on_silver(orders, lambda s: balance(s, exact=True)),
+        "gold_category_spend_exact": _on_silver(orders, lambda s: category_spend(s, exact=True)),
+        "gold_user_totals_exact": _on_silver(orders, lambda s: user_totals(s, exact=True)),
+        "lineitem_discounted_totals": _discounted_totals,
+        "schema_report": _on_silver(orders, schema_report),
         "csv_roundtrip": _csv_roundtrip,
+        "csv_mixed_headers": _mixed_headers,
+        "silver_replaced": _replaced_table,
         "silver_export": _silver_export("parquet"),
         "silver_export_csv": _silver_export("csv"),
         "balance_report_csv": _balance_report_csv,
@@ -230,6 +279,26 @@ _USERS = f"""
     SELECT id_usuario, tipo_transaccion, {_TOTAL} AS monto_total
     FROM silver GROUP BY id_usuario, tipo_transaccion
     ORDER BY monto_total DESC NULLS LAST, id_usuario ASC NULLS LAST, tipo_transaccion"""
+# Each amount is a whole multiple of 2^-53, so the sum of these is exact in 128 bits.
+_DISCOUNTED = """
+    SELECT l_returnflag, l_linestatus, round(CAST(sum(CAST(
+               l_extendedprice * (1 - l_discount) * (1 + l_tax) * pow(2, 53) AS HUGEINT))
+               AS DOUBLE) / pow(2, 53), 4) AS total, count(l_orderkey) AS operations
+    FROM lineitem GROUP BY ALL"""
+_SCHEMA = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{name}' AS name, '{kind}' AS type, "
+    f"count(*) AS n_rows, count({name}) AS n_filled FROM silver"
+    for i, (name, kind) in enumerate(
+        [
+            ("id_transaccion", "string"),
+            ("id_usuario", "string"),
+            ("monto", "double"),
+            ("fecha", "date"),
+            ("categoria", "string"),
+            ("tipo_transaccion", "string"),
+        ]
+    )
+)
 _TOP_CATEGORIES = _CATEGORIES + " LIMIT "
 _TOP_USERS = _USERS + " LIMIT 10"
 
@@ -287,7 +356,14 @@ def _job_oracles() -> dict[str, str]:
             "SELECT tipo_transaccion, round(100 * total_monto / sum(total_monto) OVER (), 1) "
             f"AS porcentaje FROM ({_BALANCE})"
         ),
+        "gold_balance_exact": orders(_BALANCE),
+        "gold_category_spend_exact": orders(_CATEGORIES),
+        "gold_user_totals_exact": orders(_USERS),
+        "lineitem_discounted_totals": _DISCOUNTED,
+        "schema_report": orders(_SCHEMA),
         "csv_roundtrip": orders(silver),
+        "csv_mixed_headers": orders(silver),
+        "silver_replaced": orders(silver),
         "silver_export": orders(silver),
         "silver_export_csv": orders(silver),
         "balance_report_csv": orders(_BALANCE),

@@ -4,6 +4,7 @@ from ledgerlift.operators.gold import (
     category_spend,
     expense_rows,
     preview,
+    schema_report,
     share_of_total,
     top_k,
     user_totals,
@@ -19,6 +20,7 @@ __all__ = [
     "is_complete",
     "preview",
     "quality_counts",
+    "schema_report",
     "share_of_total",
     "to_silver",
     "top_k",

@@ -66,6 +66,28 @@ def preview(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
     return df.orderBy(*(F.asc_nulls_last(c) for c in (key, *others))).limit(n)
 
 
+def schema_report(df: DataFrame) -> DataFrame:
+    """A row per column: its ``position``, ``name`` and ``type``, all rows and those with a value.
+
+    The counts are one pass, whose one row is then turned into one for each column.
+    """
+    counted = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.array(*(F.count(F.col(f"`{f.name}`")) for f in df.schema)).alias("n_filled"),
+    )
+    columns = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            "n_rows",
+            F.col("n_filled")[i].alias("n_filled"),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    return counted.select(F.inline(F.array(*columns)))
+
+
 def share_of_total(
     report: DataFrame, measure: str, *keys: str, name: str = "porcentaje"
 ) -> DataFrame:

@@ -14,7 +14,9 @@ QUERIES, ORACLES = contract._job_queries(), contract._job_oracles()
 ORDERED = {
     "category_report_csv",
     "gold_category_spend",
+    "gold_category_spend_exact",
     "gold_user_totals",
+    "gold_user_totals_exact",
     "lineitem_gold_category_spend",
     "lineitem_gold_user_totals",
     "lineitem_top10_categories",
