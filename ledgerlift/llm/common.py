@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.sources import scratch_path
+from ledgerlift.sources import delete_folder, scratch_path
+
+#: Where each table of :func:`written` is.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +27,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[found] = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`written` whose last reader has been written itself."""
+    for found in tables:
+        delete_folder(found.sparkSession, _paths.pop(found))
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -11,13 +11,15 @@ Near copies of one text share their whole prefix, so a pair for each two of them
 Instead, the classes that share an n-gram are first compared with one of them, the pivot; links
 make components; and only n-grams that still hold several components are looked at again, at the
 end with every pair across components. So each pair within the filters is compared, unless its
-two classes are known to be connected already: the components are exact.
+two classes are known to be connected already: the components are exact. :func:`ngram_join`
+compares every pair within the filters, for the number of links of each document.
 
 Defined cases: words are split at ASCII white space with A-Z lower-cased; a text of fewer than
 ``n`` words is one n-gram of all its words; a null or empty text, or one of white space, has no
 n-grams, links with nothing and is its own component; repeated rows, and rows that share an id with
 different texts, are documents of their own; a null id takes the least id of its component, if
-there is one; an empty table gives no rows; other columns are ignored. N-grams are compared by
+there is one; an empty table gives no rows; very long texts are cut into words whole, and their
+prefix is a share of their n-grams; other columns are ignored, whatever their names. N-grams are compared by
 64-bit hashes, and sets and texts by one of these.
 """
 
@@ -33,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import text_or_empty, written
+from ledgerlift.llm.common import discard, text_or_empty, written
 from ledgerlift.llm.components import connected_components
 
 #: Counters of the sketch of how many documents have an n-gram. A fixed size, whatever the input.
@@ -282,14 +284,14 @@ def _unresolved(rows: DataFrame) -> DataFrame:
 
 
 def ngram_links(
-    docs: DataFrame, n: int = 4, percent: int = 85
+    docs: DataFrame, n: int = 4, percent: int = 85, complete: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes, links and components of ``docs`` (``doc_id``, ``text``).
 
     Classes: a row per document with ``doc_id``, ``text_hash``, ``class`` (null: no n-grams) and
-    ``size``. Links:
-    ``a``, ``b``, ``common`` and ``total`` of the pairs that were compared and reach the threshold.
-    Components: ``node`` and ``root`` of each linked class. All are written tables.
+    ``size``. Links: ``a``, ``b``, ``common`` and ``total`` of pairs of classes that reach the
+    threshold; all of them if ``complete``, else those that were compared, which make the same
+    components. Components: ``node`` and ``root`` of each linked class. All are written tables.
     """
     measured = written(_sets(docs, n), "sets")
     classes = measured.where(F.col("size").isNotNull()).drop("bucket", "n")
@@ -303,6 +305,7 @@ def ngram_links(
     several = prefixes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = prefixes.join(several.select("gram"), "gram", "left_semi")
     rows = written(shared.dropDuplicates(["gram", "class"]), "shared-grams")
+    discard(prefixes)
     # What each class shares of its prefix: at most the prefix of one document.
     of_prefix = rows.groupBy("class").agg(
         F.collect_list("gram").alias("grams"), F.first("size").alias("size")
@@ -313,6 +316,11 @@ def ngram_links(
     first = written(of_class.agg(F.min("text_hash").alias("text_hash")), "classes")
 
     spark = docs.sparkSession
+    if complete:
+        pairs = written(_competitive(_every(rows, percent).distinct(), held, percent), "pairs")
+        links = _compared(docs, pairs, first, n, percent)
+        return classes, links, written(connected_components(links), "components")
+
     links = spark.createDataFrame([], "a bigint, b bigint, common bigint, total bigint")
     tested = spark.createDataFrame([], "a bigint, b bigint")
     components = spark.createDataFrame([], "node bigint, root bigint")
@@ -326,12 +334,7 @@ def ngram_links(
         pairs = written(_competitive(untested, held, percent), "pairs")
         if pairs.isEmpty() and round_ == PIVOT_ROUNDS:
             break
-        compared = pairs.select(F.col("a").alias("class")).unionByName(
-            pairs.select(F.col("b").alias("class"))
-        )
-        wanted = first.join(compared.distinct(), "class", "left_semi")
-        texts = written(_texts_of(docs, written(wanted, "wanted")), "compared-texts")
-        new = written(_verified(pairs, texts, n, percent), "links")
+        new = _compared(docs, pairs, first, n, percent)
         links, tested = links.unionByName(new), tested.unionByName(pairs)
         components = written(connected_components(links), "components")
         if round_ < PIVOT_ROUNDS:
@@ -340,6 +343,30 @@ def ngram_links(
     return classes, links, components
 
 
+def _compared(
+    docs: DataFrame, pairs: DataFrame, first: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """The links among ``pairs`` of classes, as a written table; each pair is compared once."""
+    compared = pairs.select(F.col("a").alias("class")).unionByName(
+        pairs.select(F.col("b").alias("class"))
+    )
+    wanted = written(first.join(compared.distinct(), "class", "left_semi"), "wanted")
+    texts = written(_texts_of(docs, wanted), "compared-texts")
+    links = written(_verified(pairs, texts, n, percent), "links")
+    discard(wanted, texts)
+    return links
+
+
+def _every(rows: DataFrame, percent: int) -> DataFrame:
+    """Every pair of an n-gram's classes within the length and positional filters.
+
+    A class meets only larger ones, in the n-gram's rows by size, so each pair comes once a gram; a
+    gram of very many classes is a skewed key, which adaptive execution splits.
+    """
+    met = rows.alias("x").join(rows.alias("y"), "gram").where(_pairs("x", "y", percent))
+    return met.select(*_named("x", "y"))
+
+
 def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of each n-gram's classes with one of them, the pivot.
 
@@ -390,7 +417,11 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFram
     ``component_id`` is the smallest ``doc_id`` reachable by links, the document's own included.
     """
     classes, _, components = ngram_links(docs, n, percent)
-    labels = _labels(classes, components)
+    return _labelled(classes, _labels(classes, components))
+
+
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """A row per document with its label and those of its class."""
     return classes.join(labels, "class", "left").select(
         "doc_id",
         F.col("size").cast("bigint").alias("n_shingles"),
@@ -398,7 +429,28 @@ def ngram_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFram
         .otherwise(F.col("component_id"))
         .alias("component_id"),
         F.col("class").alias("class_id"),
+        *(c for c in labels.columns if c not in ("class", "root", "component_id")),
+    )
+
+
+def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """The columns of :func:`ngram_components` with ``n_links``, the documents that each links with.
+
+    Every pair of different texts within the filters is compared, so a group of near copies costs the
+    square of its texts, as many as it has links. Copies of a text count as links of each other, and
+    each as a link of what the text links with, without being compared.
+    """
+    classes, links, components = ngram_links(docs, n, percent, complete=True)
+    sizes = classes.where(F.col("class").isNotNull()).groupBy("class")
+    sizes = written(sizes.agg(F.count(F.lit(1)).alias("n_copies")), "copies")
+    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = sizes.select(F.col("class").alias("b"), "n_copies")
+    linked = ends.join(others, "b").groupBy(F.col("a").alias("class"))
+    counts = sizes.join(linked.agg(F.sum("n_copies").alias("others")), "class", "left").select(
+        "class", (F.col("n_copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
+    labels = _labels(classes, components).join(counts, "class")
+    return _labelled(classes, labels).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
 
 
 def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -417,10 +469,9 @@ def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text_hash")
     )
     kept = one.unionByName(empty.distinct())
-    rows = docs.withColumn("_own_hash", _text_hash())
-    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_own_hash"] == kept["_text_hash"])
+    # Beside the row, so that no column of the documents can clash.
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", _text_hash().alias("own_hash"))
+    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["own_hash"] == kept["_text_hash"])
     return (
-        rows.join(kept, same, "left_semi")
-        .dropDuplicates(["doc_id", "_own_hash"])
-        .select(*docs.columns)
+        rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "own_hash"]).select("row.*")
     )

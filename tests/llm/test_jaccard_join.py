@@ -3,10 +3,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlift.llm import registry
 from ledgerlift.llm.components import connected_components
-from ledgerlift.llm.jaccard_join import ngram_components, overlap
+from ledgerlift.llm.jaccard_join import keep_one, ngram_components, ngram_join, ngram_links, overlap
 
 
 def grams(text, n):
@@ -113,6 +114,57 @@ def test_no_rows(no_documents):
     assert ngram_components(no_documents).count() == 0
 
 
+def linked(rows, n, percent):
+    """How many others each document links with, by its place among the rows."""
+    sets = [grams(t, n) for _, t in rows]
+    return [
+        sum(
+            i != j and bool(x) and 100 * len(x & y) >= percent * len(x | y)
+            for j, y in enumerate(sets)
+        )
+        for i, x in enumerate(sets)
+    ]
+
+
+def test_complete_join_has_every_link(spark):
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = [" ".join(edited(rng, words, rng.randint(0, 3))) for _ in range(150)]
+    texts += texts[:5] * 3 + ["", "one two", "ONE two"] + [" ".join(edited(rng, words, 40)) for _ in range(9)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = linked(rows, 4, 85)
+    got = {r.doc_id: r for r in ngram_join(docs).collect()}
+    assert [got[i].n_links for i in range(len(rows))] == expected and max(expected) > 20
+    assert found(ngram_join(docs)) == brute_force(rows, 4, 85)
+    classes, links, _ = ngram_links(docs, complete=True)
+    different = len({g for _, t in rows if (g := grams(t, 4))})
+    assert classes.where("class is not null").select("class").distinct().count() == different
+    pairs = {(min(r.a, r.b), max(r.a, r.b)) for r in links.collect()}
+    sets = list({g for _, t in rows if (g := grams(t, 4))})
+    assert links.count() == len(pairs) == sum(
+        100 * len(x & y) >= 85 * len(x | y) for i, x in enumerate(sets) for y in sets[:i]
+    )
+    _, some, _ = ngram_links(docs)
+    assert some.count() < len(pairs)
+
+
+def test_complete_join_of_odd_rows(odd_documents, no_documents):
+    rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
+    got = sorted((repr(r.doc_id), r.n_shingles, r.n_links) for r in ngram_join(odd_documents).collect())
+    links = linked(rows, 4, 85)
+    assert got == sorted((repr(i), len(grams(t, 4)), k) for (i, t), k in zip(rows, links, strict=True))
+    assert ngram_join(no_documents).count() == 0
+
+
+def test_kept_rows_have_their_own_columns(odd_documents):
+    names = ["_own_hash", "row", "own_hash", "class", "root", "_id"]
+    docs = odd_documents.withColumns({c: F.lit(f"their {c}") for c in names})
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns and kept.schema == docs.schema
+    assert all(r[c] == f"their {c}" for r in kept.collect() for c in names)
+
+
 def test_suffix_filter_never_drops_a_match():
     rng = np.random.default_rng(3)
     for _ in range(500):
