@@ -23,12 +23,47 @@ def test_removes_spread_lines_and_keeps_others(spark):
         assert found[i].text == rows[i][1] and found[i].n_removed == 0
 
 
-def test_copies_stay_whole(spark):
-    copy = "First line of a copied text.\nSecond line of a copied text.\nThird line of it."
+def test_what_is_boilerplate_almost_wholly_stays_whole(spark):
+    copy = "\n".join(f"Line {i} of a text that has been copied." for i in range(12))
     rows = [(i, copy, f"s{i}") for i in range(8)] + [(9, copy + "\nOne edited line here.", "s9")]
     found = rows_of(spark, rows)
     assert all(found[i].text == t for i, t, _ in rows)
-    assert found[0].n_boilerplate == 3 and found[9].n_boilerplate == 3
+    assert found[0].n_boilerplate == 12 and found[9].n_boilerplate == 12
+    assert found[0].n_removed == found[9].n_removed == 0
+
+
+def test_what_near_copies_are_not_loses_its_boilerplate(spark):
+    """Between a half and eight ninths of a text, no later stage would act."""
+    shared = "\n".join(f"Line {i} of what many sites have." for i in range(8))
+    own = {i: f"What text {i} says itself, and nobody else: " + f"w{i} " * 14 for i in range(8)}
+    found = rows_of(spark, [(i, f"{shared}\n{x}", f"s{i}") for i, x in own.items()])
+    assert len(shared) > 2 * len(own[0])
+    assert {i: r.text for i, r in found.items()} == own
+    assert {r.n_removed for r in found.values()} == {8}
+
+
+def test_lines_without_spaces_count_by_their_characters(spark):
+    line = "版权所有未经许可不得转载本站内容仅供参考如有侵权请联系删除谢谢"
+    rows = [(i, f"{line}\n短线\nThis is what document {i} says, in a long line.", f"s{i}") for i in range(9)]
+    for r in rows_of(spark, rows).values():
+        assert r.text == f"短线\nThis is what document {r.doc_id} says, in a long line."
+
+
+def test_hot_lines_and_null_ids(spark):
+    """A line in nearly all of very many rows, whose ids are null."""
+    rows = [(None, f"{LINE}\nSome words of row {i}, and more of them.", f"s{i % 7}") for i in range(3000)]
+    rows += [(1, f"{LINE}\nA row of its own, with words.", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7)
+    got = sorted(r.text for r in remove_boilerplate(docs).collect())
+    assert got == sorted(t.split("\n")[1] for _, t, _ in rows)
+
+
+def test_columns_of_any_name_pass(odd_documents):
+    names = ["_lines", "_found", "_row", "_id", "_hash", "_own", "_kept", "_rest", "line", "text_hash"]
+    docs = odd_documents.withColumns({c: F.lit(f"their {c}") for c in names})
+    out = remove_boilerplate(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_boilerplate", "n_removed"]
+    assert all(r[c] == f"their {c}" for r in out.collect() for c in names)
 
 
 def test_threshold_is_exact_near_and_far(spark):
