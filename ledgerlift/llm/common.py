@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,21 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: ASCII white space, as words are split at.
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def words_by_slice(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """A text's words with A-Z lower-cased, those of about ``size`` bytes at a time."""
+    start = 0
+    while start < len(text):
+        end = start + size
+        found = _SPACE.search(text, end) if end < len(text) else None
+        end = found.start() if found else len(text)
+        yield text[start:end].lower().split()
+        start = end
+
+
 def parts_for(amount: float, each: float) -> int:
     """How many parts of about ``each`` an ``amount`` needs; one at least."""
     return max(1, math.ceil(amount / each))

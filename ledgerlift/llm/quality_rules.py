@@ -4,22 +4,25 @@ A document's characters fall into classes and its common words into bins. Both h
 compared with those of its language by Jensen-Shannon distance (base 2, so 0 to 1). The language
 references come from all documents: an average over distinct histograms, made anew from the
 nearer half, so that neither copies nor a share of junk can draw it away. Texts under a minimum
-length are not judged by a histogram, whose noise would decide.
+length are not judged by a histogram, whose noise would decide. However many languages there are,
+each has a reference of its own: they are a table, joined by language.
 
 Built-in functions alone, and nothing is shuffled but counts.
 
-Defined cases: a null or empty text has no words, fails the base rule and is not kept; a null or
-rare ``lang`` is compared with the nearest reference of all; where no reference exists the base
-rule decides alone; repeated rows are judged each, alike; windows of words are compared by their
-64-bit hashes; an empty table gives no rows; a column of the documents with the name of a result
-is replaced by it.
+Defined cases: a null or empty text has no words, fails the base rule and is not kept; documents
+without a language are one more; where none of a language's texts is long enough for a reference
+the base rule decides alone; a language whose common words are not in the list has but one bin of
+words, which tells nothing; repeated rows are judged each, alike; windows of words are compared by
+their 64-bit hashes; a very long text's words are one row's array; an empty table gives no rows; a
+column of the documents with the name of a result is replaced by it, others pass whatever their
+names.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import text_or_empty, written
@@ -71,14 +74,12 @@ class Limits(NamedTuple):
     #: Texts of fewer words are not judged by their common words.
     min_words: int = 100
     max_word_distance: float = 0.45
-    #: Languages with a reference of their own: those of the most documents.
-    max_languages: int = 32
 
 
-class Reference(NamedTuple):
-    lang: str | None
-    classes: list[float]
-    words: list[float]
+#: Results that the judgement adds.
+RESULTS = ["class_distance", "word_distance", "base_failed", "kept"]
+#: Steps in which the distances of a language's texts are ranked to find the nearer half.
+STEPS = 10_000
 
 
 def words_of(text: Column) -> Column:
@@ -139,24 +140,20 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def _nearest(shares: Column, lang: Column, own: dict[str, list[float]]) -> Column:
-    """Distance to the language's reference, or to the nearest of all without one; null if none."""
-    if not own:
-        return F.lit(None).cast("double")
-    every = F.lit(list(own.values()))
-    named = {k: v for k, v in own.items() if k is not None}
-    if named:
-        by_lang = F.create_map(*(c for k, v in named.items() for c in (F.lit(k), F.lit(v))))
-        mine = F.try_element_at(by_lang, F.coalesce(lang, F.lit("")))
-        every = F.when(mine.isNotNull(), F.array(mine)).otherwise(every)
-    return F.array_min(F.transform(every, lambda q: distance(shares, q)))
+def _with_reference(rows: DataFrame, references: DataFrame, how: str) -> DataFrame:
+    """Rows with ``lang`` and the two histograms of their language as ``ref_classes``, ``ref_words``."""
+    named = references.select(
+        F.col("lang").alias("ref_lang"),
+        F.col("classes").alias("ref_classes"),
+        F.col("words").alias("ref_words"),
+    )
+    return rows.join(named, rows["lang"].eqNullSafe(named["ref_lang"]), how).drop("ref_lang")
 
 
-def fit_references(featured: DataFrame, limits: Limits = Limits()) -> list[Reference]:
-    """The references of the languages with the most documents, from rows of :func:`features`.
+def fit_references(featured: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``lang``, ``classes`` and ``words``: the reference of each language, from :func:`features`.
 
-    The driver gets ``max_languages`` rows of averages at most. Each is an average over distinct
-    pairs of histograms: copies of a text count once.
+    Each is an average over distinct pairs of histograms: copies of a text count once.
     """
     histograms = featured.where(F.col("n_words") >= limits.min_words).select(
         F.col("lang").cast("string").alias("lang"),
@@ -167,39 +164,39 @@ def fit_references(featured: DataFrame, limits: Limits = Limits()) -> list[Refer
     shares = distinct.select(
         "lang", _shares(F.col("classes")).alias("classes"), _shares(F.col("words")).alias("words")
     )
-    first = _averages(shares, limits)
-    if not first:
-        return []
-    by_lang = {r.lang: r for r in first}
-    # Only languages with a reference take part in the second round.
-    known = shares.where(
-        F.coalesce(F.col("lang").isin([x for x in by_lang if x is not None]), F.lit(False))
-        | (F.col("lang").isNull() & F.lit(None in by_lang))
-    ).withColumn(
-        "far",
-        _nearest(F.col("classes"), F.col("lang"), {k: r.classes for k, r in by_lang.items()})
-        + _nearest(F.col("words"), F.col("lang"), {k: r.words for k, r in by_lang.items()}),
+    first = written(_averages(shares), "first-references")
+    apart = distance(F.col("classes"), F.col("ref_classes")) + distance(
+        F.col("words"), F.col("ref_words")
+    )
+    far = _with_reference(shares, first, "inner").withColumn(
+        "step", F.floor(apart * STEPS).cast("int")
+    )
+    # The middle step of each language, from the counts of its steps.
+    counts = far.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n"))
+    of_lang = Window.partitionBy("lang")
+    below = of_lang.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    half = 2 * F.sum("n").over(below) >= F.sum("n").over(of_lang)
+    middle = (
+        counts.withColumn("half", half)
+        .where("half")
+        .groupBy(F.col("lang").alias("mid_lang"))
+        .agg(F.min("step").alias("middle"))
+    )
+    nearer = far.join(
+        middle, far["lang"].eqNullSafe(middle["mid_lang"]) & (far["step"] <= middle["middle"])
     )
-    middle = known.groupBy("lang").agg(F.percentile_approx("far", 0.5, 10_000).alias("middle"))
-    halves = {r.lang: r.middle for r in middle.collect()}
-    near = F.lit(False)
-    for lang, limit in halves.items():
-        near = near | (F.col("lang").eqNullSafe(F.lit(lang)) & (F.col("far") <= limit))
-    return _averages(known.where(near), limits)
+    return written(_averages(nearer.select("lang", "classes", "words")), "references")
 
 
-def _averages(shares: DataFrame, limits: Limits) -> list[Reference]:
-    sizes = {"classes": len(CLASSES) + 1, "words": len(COMMON_WORDS) + 1}
-    means = [
-        F.array(*(F.avg(F.col(c)[i]) for i in range(n))).alias(c) for c, n in sizes.items()
-    ]
-    rows = shares.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *means)
+def _averages(shares: DataFrame) -> DataFrame:
     # Averages of doubles depend on the order of the rows in their last digits; rounding them
     # gives every run the same references.
-    return [
-        Reference(r.lang, [round(x, 9) for x in r.classes], [round(x, 9) for x in r.words])
-        for r in rows.orderBy(F.desc("n"), "lang").limit(limits.max_languages).collect()
+    sizes = {"classes": len(CLASSES) + 1, "words": len(COMMON_WORDS) + 1}
+    means = [
+        F.array(*(F.round(F.avg(F.col(c)[i]), 9) for i in range(n))).alias(c)
+        for c, n in sizes.items()
     ]
+    return shares.groupBy("lang").agg(*means)
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -211,7 +208,12 @@ def features(docs: DataFrame) -> DataFrame:
     hashes, windows = F.col("_qr_hashes"), F.col("_qr_windows")
     in_order, pairs, starts = F.col("_qr_sorted"), F.col("_qr_pairs"), F.col("_qr_starts")
     none = F.lit(0).cast("bigint")
-    steps = docs.withColumns({"_qr_text": text_or_empty(), "_qr_words": words_of(text_or_empty())})
+    given = [c for c in docs.columns if c not in FEATURES]
+    steps = docs.select(
+        F.struct(*given).alias("_qr_row") if given else F.lit(None).alias("_qr_row"),
+        text_or_empty().alias("_qr_text"),
+        words_of(text_or_empty()).alias("_qr_words"),
+    )
     steps = steps.withColumns(
         {
             "n_words": F.size(words).cast("bigint"),
@@ -270,31 +272,34 @@ def features(docs: DataFrame) -> DataFrame:
     )
     repeated = F.aggregate(covered, none, lambda a, x: a + x)
     steps = steps.withColumn("n_repeat_words", F.coalesce(repeated, none))
-    return steps.drop(*(c for c in steps.columns if c.startswith("_qr_")))
+    return steps.select(*(F.col("_qr_row").getField(c).alias(c) for c in given), *FEATURES)
 
 
-def judge(
-    featured: DataFrame, references: list[Reference], limits: Limits = Limits()
-) -> DataFrame:
+def judge(featured: DataFrame, references: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Rows of :func:`features` with their distances, ``base_failed`` and ``kept``.
 
     Give it written features: a filter on ``kept`` would move Spark to compute them again for the
     filter.
     """
-    n = F.col("n_words")
-    chars = F.aggregate("class_counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    lang = F.col("lang").cast("string")
-    own_classes = {r.lang: r.classes for r in references}
-    own_words = {r.lang: r.words for r in references}
-    steps = featured.withColumns(
+    given = [c for c in featured.columns if c not in RESULTS + ["class_counts", "word_counts"]]
+    rows = featured.select(
+        F.struct(*given).alias("row"),
+        F.col("lang").cast("string").alias("lang"),
+        "class_counts",
+        "word_counts",
+        "n_words",
+        "n_repeat_words",
+        F.aggregate("class_counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chars"),
+    )
+    n, chars = F.col("n_words"), F.col("chars")
+    # Without a reference its histograms, and so the distances, are null.
+    class_distance = distance(_shares(F.col("class_counts")), F.col("ref_classes"))
+    word_distance = distance(_shares(F.col("word_counts")), F.col("ref_words"))
+    known = F.col("ref_classes").isNotNull()
+    steps = _with_reference(rows, references, "left").withColumns(
         {
-            "class_distance": F.when(
-                chars >= limits.min_chars,
-                _nearest(_shares(F.col("class_counts")), lang, own_classes),
-            ),
-            "word_distance": F.when(
-                n >= limits.min_words, _nearest(_shares(F.col("word_counts")), lang, own_words)
-            ),
+            "class_distance": F.when(known & (chars >= limits.min_chars), class_distance),
+            "word_distance": F.when(known & (n >= limits.min_words), word_distance),
             "base_failed": (n < 50) | (100 * F.col("n_repeat_words") > 50 * n),
         }
     )
@@ -303,9 +308,8 @@ def judge(
     diverges = F.coalesce(F.col("class_distance") > most, no) | F.coalesce(
         F.col("word_distance") > limits.max_word_distance, no
     )
-    return steps.withColumn("kept", ~F.col("base_failed") & ~diverges).drop(
-        "class_counts", "word_counts"
-    )
+    judged = steps.withColumn("kept", ~F.col("base_failed") & ~diverges)
+    return judged.select(*(F.col("row").getField(c).alias(c) for c in given), *RESULTS)
 
 
 def quality_rules(

@@ -19,7 +19,7 @@ from ledgerlift.llm.line_spread import remove_boilerplate
 from ledgerlift.llm.main_text import main_text
 from ledgerlift.llm.merkle_manifest import merkle_manifest
 from ledgerlift.llm.quality_model import fit_model, predicted, score_documents
-from ledgerlift.llm.quality_rules import CLASSES, COMMON_WORDS, Limits, quality_rules
+from ledgerlift.llm.quality_rules import CLASSES, COMMON_WORDS, STEPS, Limits, quality_rules
 from ledgerlift.llm.simhash_join import simhash_components
 from ledgerlift.llm.top_k import quantized, top_k_inner
 from ledgerlift.sources import scratch_path
@@ -221,22 +221,25 @@ def _quality_rules_sql(limits: Limits = Limits()) -> str:
     shared AS (SELECT lang, {shares("classes")} AS c, {shares("common")} AS w FROM histograms),
     first_references AS ({reference} FROM shared GROUP BY lang),
     far AS (
-        SELECT s.*, {distance("c", "rc")} + {distance("w", "rw")} AS d
-        FROM shared s JOIN first_references USING (lang)),
-    halves AS (SELECT lang, quantile_disc(d, 0.5) AS middle FROM far GROUP BY lang),
-    language AS ({reference} FROM far JOIN halves USING (lang) WHERE d <= middle GROUP BY lang),
+        SELECT s.*, floor({STEPS} * ({distance("c", "rc")} + {distance("w", "rw")})) AS d
+        FROM shared s JOIN first_references r ON s.lang IS NOT DISTINCT FROM r.lang),
+    halves AS (SELECT lang AS l, quantile_disc(d, 0.5) AS middle FROM far GROUP BY lang),
+    language AS (
+        {reference} FROM far JOIN halves ON lang IS NOT DISTINCT FROM l AND d <= middle
+        GROUP BY lang),
     measured AS (
         SELECT k.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                coalesce(n_repeat_words, 0) AS n_repeat_words,
                {distance("p", "rc")} AS class_distance, {distance("q", "rw")} AS word_distance
         FROM (SELECT *, {shares("classes")} AS p, {shares("common")} AS q FROM counted) k
-        JOIN language USING (lang) LEFT JOIN covered USING (doc_id)),
+        LEFT JOIN language l ON k.lang IS NOT DISTINCT FROM l.lang
+        LEFT JOIN covered USING (doc_id)),
     judged AS (
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-               chars >= {limits.min_chars} AND class_distance
+               coalesce(chars >= {limits.min_chars} AND class_distance
                    > {limits.max_class_distance} + {limits.slack} / greatest(chars, 1)
                OR n_words >= {limits.min_words} AND word_distance
-                   > {limits.max_word_distance} AS diverges
+                   > {limits.max_word_distance}, false) AS diverges
         FROM measured)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND NOT diverges AS kept
@@ -251,7 +254,8 @@ _LINE_SPREAD_SQL = r"""
     marked AS (
         SELECT *, trim(line, ' ') AS key,
                regexp_matches(line, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+'
-                   || '[\x20\x09-\x0D]+[^\x20\x09-\x0D]+') AS long_enough
+                   || '[\x20\x09-\x0D]+[^\x20\x09-\x0D]+')
+                   OR length(trim(line, ' ')) >= 20 AS long_enough
         FROM split),
     boilerplate AS (
         SELECT key FROM marked WHERE long_enough
@@ -266,7 +270,7 @@ _LINE_SPREAD_SQL = r"""
         FROM judged GROUP BY doc_id),
     decided AS (
         SELECT *, n_boilerplate > 0
-                  AND length(text) - length(rest) <= 0.5 * length(text) AS cleaned
+                  AND 9 * (length(text) - length(rest)) <= 8 * length(text) AS cleaned
         FROM documents_judged)
     SELECT doc_id, CASE WHEN cleaned THEN rest ELSE text END AS text, n_lines, n_boilerplate,
            CASE WHEN cleaned THEN n_boilerplate ELSE 0 END AS n_removed

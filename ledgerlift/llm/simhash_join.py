@@ -29,7 +29,6 @@ their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import join_by_frequency, text_or_empty, written
+from ledgerlift.llm.common import join_by_frequency, text_or_empty, words_by_slice, written
 from ledgerlift.llm.components import connected_components
 
 #: Bits that two linked fingerprints differ in at most. The join by one-step cells is for two.
@@ -49,23 +48,11 @@ CROWD = 65
 SLICE = 1 << 18
 
 _SEED = 42
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _EVEN_BITS = 0x5555555555555555
 # Bits set in each byte value, by bit.
 _BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 
 
-def _slices(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, so many bytes at a time."""
-    start = 0
-    while start < len(text):
-        end = start + SLICE
-        found = _SPACE.search(text, end) if end < len(text) else None
-        end = found.start() if found else len(text)
-        yield text[start:end].lower().split()
-        start = end
-
-
 def _votes(words: list[bytes], n: int) -> np.ndarray:
     """How many hashes of the words' n-word shingles have each bit set."""
     joined = b" ".join(words)
@@ -86,7 +73,7 @@ def _votes(words: list[bytes], n: int) -> np.ndarray:
 def fingerprint(text: bytes, n: int = 3) -> int:
     """The majority of the shingles' hashes in each bit, as an unsigned integer."""
     votes, total, carried = np.zeros(64, np.int64), 0, []
-    for words in _slices(text):
+    for words in words_by_slice(text, SLICE):
         words = carried + words
         if len(words) >= n:
             votes += _votes(words, n)

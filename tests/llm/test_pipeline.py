@@ -53,10 +53,12 @@ def test_line_dedup_removes_lines_alone(outputs):
             sites.setdefault(line.strip(" "), set()).add(r.source)
     for i, r in after.items():
         spread = [
-            x for x in before[i].text.split("\n") if len(x.split()) >= 3 and len(sites[x.strip(" ")]) >= 5
+            x
+            for x in before[i].text.split("\n")
+            if (len(x.split()) >= 3 or len(x.strip(" ")) >= 20) and len(sites[x.strip(" ")]) >= 5
         ]
         rest = "\n".join(x for x in before[i].text.split("\n") if x not in spread)
-        whole = len(before[i].text) - len(rest) > 0.5 * len(before[i].text)
+        whole = 9 * (len(before[i].text) - len(rest)) > 8 * len(before[i].text)
         assert r.text == (before[i].text if whole or not spread else rest)
         assert r.n_chars == len(r.text)
 
