@@ -7,15 +7,21 @@ its arcs are the tokens seen after it, with their smoothed log-probabilities, an
 leads to the state of the context without its first token, with the weight of what was not seen.
 A text is scored in one traversal from left to right that carries the state.
 
-The model is as large as the corpus makes it and is never in one place. Texts are cut into chunks
-of whole documents; each chunk asks for the counts of its own distinct n-grams, the counts are
+Texts are traversed in lockstep, a token of each at a time, in stretches of equal length: whatever the
+state before them, ``order - 1`` tokens lead to the same one, the longest context learned of them, so a
+stretch begins with these and leaves out their probabilities. At a position, only its own n-grams can
+be arcs; each is looked up once by its number, and those not learned are no arcs.
+
+The model is as large as the corpus makes it and is never in one place. Texts are cut into chunks,
+very long ones into several, each after the first with the tokens before it; each chunk asks for the counts of its own distinct n-grams, the counts are
 added up by buckets of n-grams, and each chunk gets those it asked for, which is all of the
 automaton that its texts can reach.
 
 Defined cases: a null or empty text is its end token alone; A-Z are lower-cased and words are
 split at ASCII white space; without training texts every word has the probability 1; repeated
-rows count and are scored each time, null ids too; an empty table gives no rows; other columns are
-ignored. N-grams are told apart by 56-bit hashes.
+rows count and are scored each time, null ids too; a very long text is counted and scored piece by
+piece; an empty table gives no rows; other columns are ignored, whatever their names. N-grams are
+told apart by 56-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,13 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import parts_for, text_or_empty, written
+from ledgerlift.llm.common import parts_for, text_or_empty, words_by_slice, written
 
 #: Tokens of a chunk, and n-grams asked for in a bucket, about.
 CHUNK_TOKENS = 1_000_000
 BUCKET_KEYS = 500_000
-#: Tokens of the texts whose arcs are in one dictionary at a time.
-REACH_TOKENS = 150_000
+#: Bytes of a text that are cut into words, and are in one chunk, at once.
+SLICE_BYTES = 1 << 22
+#: Tokens of a text that are traversed one after the other; the next ones are so beside them.
+STRETCH = 512
 #: Tokens that the shorter context counts for in each state.
 PRIOR = 32.0
 
@@ -93,28 +101,71 @@ class Grams(NamedTuple):
     at: np.ndarray
 
 
+class Piece(NamedTuple):
+    """Words of a text: all of them, or some with as many before them as contexts reach back."""
+
+    words: list[bytes]
+    #: How many words stand before the piece's own.
+    lead: int = 0
+    #: Whether the text ends here.
+    last: bool = True
+
+
+def pieces_of(text: bytes, lead: int, size: int = SLICE_BYTES) -> Iterator[Piece]:
+    """A text's words in pieces of about ``size`` bytes, with ``lead`` words before all but the first.
+
+    With a lead of one word at least, only a text's first piece has none.
+    """
+    before: list[bytes] = []
+    words: list[bytes] = []
+    for more in words_by_slice(text, size):
+        if len(words) >= max(lead, 1) and more:
+            yield Piece(before + words, len(before), False)
+            before, words = (before + words)[len(before) + len(words) - lead :], []
+        words += more
+    yield Piece(before + words, len(before))
+
+
 class Chunk:
-    """Tokens of whole documents, numbered by the ascending hashes of their words."""
+    """Tokens of texts or pieces of them, numbered by the ascending hashes of their words.
 
-    def __init__(self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray):
-        self.words, self.tokens, self.lengths, self.held = words, tokens, lengths, held
+    ``lead`` of a piece's tokens are another's, and only contexts here.
+    """
+
+    def __init__(
+        self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, lead: np.ndarray, held: np.ndarray
+    ):
+        self.words, self.tokens, self.lengths, self.lead, self.held = words, tokens, lengths, lead, held
+        self.starts = np.cumsum(lengths) - lengths
+        #: Positions of the pieces' own tokens.
+        self.own = np.arange(len(tokens)) >= np.repeat(self.starts + lead, lengths)
 
     @classmethod
     def of_texts(cls, texts: list[bytes], held: list[bool]) -> Chunk:
+        return cls.of_pieces([Piece(text.lower().split()) for text in texts], held)
+
+    @classmethod
+    def of_pieces(cls, pieces: list[Piece], held: list[bool]) -> Chunk:
         numbers = _Numbers()
         end = numbers[b" "]  # no word has a blank
         parts, lengths = [], []
-        for text in texts:
-            split = text.lower().split()
-            parts.append(np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)))
-            parts.append(np.array([end]))
-            lengths.append(len(split) + 1)
+        for words, _, last in pieces:
+            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            parts.append(np.full(int(last), end))
+            lengths.append(len(words) + last)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
         hashes[end] = _END
         hashes &= _MASK
         # Words of one hash become one word.
         words, place = np.unique(hashes, return_inverse=True)
-        return cls(words, place[np.concatenate(parts)], np.array(lengths, np.int64), np.array(held, bool))
+        lead = np.array([piece.lead for piece in pieces], np.int64)
+        return cls(
+            words, place[np.concatenate(parts)], np.array(lengths, np.int64), lead, np.array(held, bool)
+        )
+
+    def summed(self, values: np.ndarray) -> np.ndarray:
+        """The sum of each piece's own tokens' values."""
+        return np.add.reduceat(np.where(self.own, values, 0), self.starts)
 
     def grams(self, order: int) -> list[Grams]:
         """The distinct n-grams of each length, the shortest first.
@@ -122,11 +173,8 @@ class Chunk:
         Before a text's first token stands a start; no n-gram reaches further back.
         """
         size = len(self.tokens)
-        first = np.zeros(size, bool)
-        first[np.cumsum(self.lengths) - self.lengths] = True
-        # Tokens since the start of the text, and the token itself.
-        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        depth = np.arange(size) - starts + 1
+        # Tokens since the start of the piece, and the token itself.
+        depth = np.arange(size) - np.repeat(self.starts, self.lengths) + 1
         own = self.words[self.tokens]
         shortest = Grams(
             self.words,
@@ -142,7 +190,7 @@ class Chunk:
             start = len(shorter.hashes)
             before = np.concatenate([[-1], shorter.at[:-1]])
             if n == 2:
-                before[first] = start
+                before[self.starts] = np.where(self.lead == 0, start, -1)
             else:
                 # The start and n-2 tokens are an n-1-gram of the level below already.
                 before[depth < n - 1] = -1
@@ -165,7 +213,7 @@ class Chunk:
         return levels
 
     def training_counts(self, grams: Grams) -> np.ndarray:
-        learned = np.repeat(~self.held, self.lengths) & (grams.at >= 0)
+        learned = np.repeat(~self.held, self.lengths) & self.own & (grams.at >= 0)
         return np.bincount(grams.at[learned], minlength=len(grams.hashes))
 
 
@@ -192,7 +240,7 @@ class Automaton:
 
     def __init__(
         self, levels: list[Grams], totals: list[np.ndarray], texts: int, tokens: int, types: int,
-        prior: float, ready: bool = True,
+        prior: float,
     ):
         self.width = len(levels[0].hashes)
         order = len(levels)
@@ -231,59 +279,93 @@ class Automaton:
             learned.append(total > 0)
             lower = probability
         self.start = 1 if order > 1 and texts else 0
-        self._levels = levels
-        self._arcs, self._weights, self._targets, self._learned = map(
+        # How many tokens each state's context has.
+        sizes = [len(grams.hashes) for grams in levels[:-1]]
+        self.level = np.repeat(np.arange(order), [1, *sizes] if order > 1 else [1])
+        self.level = np.insert(self.level, 1, int(order > 1))
+        self.order, self._levels = order, levels
+        self._arcs, self.weights, self.targets, self._learned = map(
             np.concatenate, (arcs, weights, targets, learned)
         )
-        if ready:
-            self.reach()
-        self.fail_weight, self.fail_to = self.fail_weight.tolist(), self.fail_to.tolist()
-
-    def reach(self, low: int = 0, high: int = 0) -> None:
-        """Lay out the arcs that the chunk's positions can take; all of them without positions.
-
-        At a position no arc but those of its own n-grams is looked for.
-        """
-        used = np.arange(len(self._arcs))
-        if high > low:
-            first, found = 0, []
-            for grams in self._levels:
-                at = grams.at[low:high]
-                found.append(first + np.unique(at[at >= 0]))
-                first += len(grams.hashes)
-            used = np.concatenate(found)
-        used = used[self._learned[used]]
-        self.arcs = dict(zip(self._arcs[used].tolist(), range(len(used)), strict=True))
-        self.weights = self._weights[used].tolist()
-        self.targets = self._targets[used].tolist()
 
     def score(self, tokens: list[int]) -> float:
-        """log10 probability of a text, in one traversal."""
-        find, width, total, state = self.arcs.get, self.width, 0.0, self.start
-        weights, targets = self.weights, self.targets
+        """log10 probability of a text, token by token."""
+        arcs = dict(zip(self._arcs[self._learned].tolist(), np.flatnonzero(self._learned), strict=True))
+        total, state = 0.0, self.start
         for token in tokens:
-            while (arc := find(state * width + token)) is None:
+            while (arc := arcs.get(state * self.width + token)) is None:
                 if not state:
                     total += self.unseen
                     break
                 total += self.fail_weight[state]
                 state = self.fail_to[state]
             else:
-                total += weights[arc]
-                state = targets[arc]
+                total += self.weights[arc]
+                state = self.targets[arc]
         return total
 
+    def score_pieces(self, chunk: Chunk) -> np.ndarray:
+        """log10 probability of each piece's own tokens: all stretches in lockstep."""
+        # The arc that each position's n-gram of each length is, if it was learned.
+        arcs, first = np.full((self.order, len(chunk.tokens)), -1), 0
+        for n, grams in enumerate(self._levels):
+            known = np.flatnonzero(grams.at >= 0)
+            number = first + grams.at[known]
+            arcs[n, known] = np.where(self._learned[number], number, -1)
+            first += len(grams.hashes)
+
+        own = chunk.lengths - chunk.lead
+        stretches = -(-own // STRETCH)
+        piece = np.repeat(np.arange(len(own)), stretches)
+        place = np.arange(len(piece)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+        begin = (chunk.starts + chunk.lead)[piece] + place * STRETCH
+        length = np.minimum(own[piece] - place * STRETCH, STRETCH)
+        at_start = (place == 0) & (chunk.lead[piece] == 0)
+        warm = np.where(at_start, 0, self.order - 1)
+        # The longest first, so that those still going on are the first ones.
+        by_length = np.argsort(-(length + warm), kind="stable")
+        piece, warm = piece[by_length], warm[by_length]
+        begin, length = begin[by_length] - warm, length[by_length] + warm
+        state = np.where(at_start[by_length], self.start, 0)
+        total = np.zeros(len(piece))
+        running = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), side="left")
+        for step, count in enumerate(running):
+            price, state[:count] = self._step(state[:count], arcs, begin[:count] + step)
+            total[:count] += np.where(step >= warm[:count], price, 0.0)
+        return np.bincount(piece, total, len(own))
+
+    def _step(
+        self, state: np.ndarray, arcs: np.ndarray, position: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Prices of the tokens at some positions, and the states after them."""
+        state, price = state.copy(), np.zeros(len(state))
+        arc = arcs[self.level[state], position]
+        missing = np.flatnonzero(arc < 0)
+        while len(missing):
+            of = state[missing]
+            price[missing] += np.where(of == 0, self.unseen, self.fail_weight[of])
+            state[missing] = self.fail_to[of]
+            missing = missing[of != 0]
+            arc[missing] = arcs[self.level[state[missing]], position[missing]]
+            missing = missing[arc[missing] < 0]
+        found = np.flatnonzero(arc >= 0)
+        price[found] += self.weights[arc[found]]
+        state[found] = self.targets[arc[found]]
+        return price, state
+
 
 CHUNKS = (
-    "chunk bigint, doc_ids array<bigint>, held array<boolean>, lengths array<bigint>, "
-    "words binary, tokens binary, n_tokens bigint, n_learned bigint, n_texts bigint"
+    "chunk bigint, doc_ids array<bigint>, texts array<bigint>, held array<boolean>, "
+    "lengths array<bigint>, lead array<bigint>, words binary, tokens binary, n_tokens bigint, n_learned bigint, n_texts bigint"
 )
 _CHUNK_ARROW = pa.schema(
     [
         ("chunk", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
+        ("texts", pa.list_(pa.int64())),
         ("held", pa.list_(pa.bool_())),
         ("lengths", pa.list_(pa.int64())),
+        ("lead", pa.list_(pa.int64())),
         ("words", pa.binary()),
         ("tokens", pa.binary()),
         ("n_tokens", pa.int64()),
@@ -298,42 +380,59 @@ def _chunk_of(row: dict) -> Chunk:
         unsqueeze_ascending(row["words"]).astype(np.uint64),
         unsqueeze(row["tokens"]),
         np.array(row["lengths"], np.int64),
+        np.array(row["lead"], np.int64),
         np.array(row["held"], bool),
     )
 
 
-def cut_chunks(docs: DataFrame, held_out: Column, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """Documents (``doc_id``, ``text``) as chunks of tokens; those of ``held_out`` are only scored."""
+def cut_chunks(
+    docs: DataFrame,
+    held_out: Column,
+    order: int,
+    chunk_tokens: int = CHUNK_TOKENS,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
+    """Documents (``doc_id``, ``text``) as chunks of tokens; those of ``held_out`` are only scored.
+
+    ``texts`` numbers the texts that are in pieces; it is null for whole ones.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        ids, held, texts, blanks = [], [], [], 0
+        split, rows, n = number, [], 0
 
         def close() -> pa.RecordBatch:
-            chunk = Chunk.of_texts(texts, held)
+            ids, texts, held, pieces = map(list, zip(*rows, strict=True))
+            chunk = Chunk.of_pieces(pieces, held)
+            learned = np.where(chunk.held, 0, chunk.lengths - chunk.lead)
             row = {
                 "chunk": number,
                 "doc_ids": ids,
+                "texts": texts,
                 "held": held,
                 "lengths": chunk.lengths.tolist(),
+                "lead": chunk.lead.tolist(),
                 "words": squeeze_ascending(chunk.words),
                 "tokens": squeeze(chunk.tokens),
                 "n_tokens": len(chunk.tokens),
-                "n_learned": int(chunk.lengths[~chunk.held].sum()),
-                "n_texts": int((~chunk.held).sum()),
+                "n_learned": int(learned.sum()),
+                "n_texts": int((~chunk.held & (chunk.lead == 0)).sum()),
             }
+            rows.clear()
             return pa.RecordBatch.from_pylist([row], _CHUNK_ARROW)
 
         for batch in batches:
-            for doc_id, out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids.append(doc_id)
-                held.append(out)
-                texts.append(text)
-                blanks += text.count(b" ") + 2
-                if blanks >= chunk_tokens:
-                    yield close()
-                    number, ids, held, texts, blanks = number + 1, [], [], [], 0
-        if ids:
+            for doc_id, out, text in zip(*batch.columns, strict=True):
+                doc_id, out, text = doc_id.as_py(), out.as_py(), text.as_py()
+                for piece in pieces_of(text, max(order - 1, 1), slice_bytes):
+                    whole = piece.last and not piece.lead
+                    rows.append((doc_id, None if whole else split, out, piece))
+                    n += len(piece.words) + piece.last
+                    if n >= chunk_tokens:
+                        yield close()
+                        number, n = number + 1, 0
+                split += 1
+        if rows:
             yield close()
 
     texts = docs.select(
@@ -413,13 +512,14 @@ def score_documents(
     prior: float = PRIOR,
     chunk_tokens: int = CHUNK_TOKENS,
     bucket_keys: int = BUCKET_KEYS,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Every document's score by a model of those that are not ``held_out``.
 
     ``doc_id``, ``held_out``, ``n_tokens``, ``n_known`` (tokens that training texts have),
     ``train_tokens``, ``base_score`` (words alone, one count added) and ``score``, both log10.
     """
-    chunks = written(cut_chunks(docs, held_out, chunk_tokens), "chunks")
+    chunks = written(cut_chunks(docs, held_out, order, chunk_tokens, slice_bytes), "chunks")
     sums = chunks.agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_learned", "n_texts"))).first()
     n_tokens, learned, texts = (int(x or 0) for x in sums)
     buckets = parts_for(n_tokens, bucket_keys)
@@ -433,6 +533,9 @@ def score_documents(
     )
     types = int(replies.agg(F.sum("n_types")).first()[0] or 0)
 
+    def integers(values: list) -> pd.array:
+        return pd.array([None if x is None or x != x else int(x) for x in values], "Int64")
+
     def traverse(chunk_rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in chunk_rows.to_dict("records"):
@@ -443,32 +546,18 @@ def score_documents(
             own = answers.sort_values("bucket")["totals"]
             totals[by_bucket] = np.concatenate([unsqueeze(x) for x in own])
             totals = np.split(totals, np.cumsum([len(g.hashes) for g in levels])[:-1])
-            automaton = Automaton(levels, totals, texts, learned, types, prior, ready=False)
-            ends = np.cumsum(chunk.lengths)
-            starts = ends - chunk.lengths
+            automaton = Automaton(levels, totals, texts, learned, types, prior)
             counts = totals[0][chunk.tokens]
-            base = np.log10((counts + 1) / (learned + types + 1))
-            scores = []
-            # A part's arcs at a time: those of all the chunk's texts would be a large dictionary.
-            parts = np.unique(starts // REACH_TOKENS, return_index=True)[1]
-            for first, last in zip(parts, [*parts[1:], len(starts)], strict=True):
-                automaton.reach(starts[first], ends[last - 1])
-                scores += [
-                    automaton.score(chunk.tokens[i:j].tolist())
-                    for i, j in zip(starts[first:last], ends[first:last], strict=True)
-                ]
             out.append(
                 pd.DataFrame(
                     {
-                        "doc_id": pd.array(
-                            [None if x is None or x != x else int(x) for x in row["doc_ids"]], "Int64"
-                        ),
+                        "doc_id": integers(row["doc_ids"]),
+                        "text": integers(row["texts"]),
                         "held_out": chunk.held,
-                        "n_tokens": chunk.lengths,
-                        "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
-                        "train_tokens": learned,
-                        "base_score": np.add.reduceat(base, starts),
-                        "score": scores,
+                        "n_tokens": chunk.lengths - chunk.lead,
+                        "n_known": chunk.summed((counts > 0).astype(np.int64)),
+                        "base_score": chunk.summed(np.log10((counts + 1) / (learned + types + 1))),
+                        "score": automaton.score_pieces(chunk),
                     }
                 )
             )
@@ -476,10 +565,21 @@ def score_documents(
 
     asked_back = replies.where(F.col("chunk").isNotNull()).select("chunk", "bucket", "totals")
     cells = chunks.groupBy("chunk").cogroup(asked_back.groupBy("chunk"))
-    return cells.applyInPandas(traverse, SCORES)
+    scored = cells.applyInPandas(traverse, SCORES)
+    # A text in pieces is put together by its number; a whole one is alone with its null.
+    train_tokens = F.lit(learned).cast("bigint").alias("train_tokens")
+    if not chunks.where(F.exists("texts", lambda text: text.isNotNull())).isEmpty():
+        scored = written(scored, "scores")
+        sums = ("n_tokens", "n_known", "base_score", "score")
+        joined = scored.where(F.col("text").isNotNull()).groupBy("text", "doc_id", "held_out")
+        joined = joined.agg(*(F.sum(c).alias(c) for c in sums))
+        scored = scored.where(F.col("text").isNull()).unionByName(joined)
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", train_tokens, "base_score", "score"
+    )
 
 
 SCORES = (
-    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+    "doc_id bigint, text bigint, held_out boolean, n_tokens bigint, n_known bigint, "
     "base_score double, score double"
 )

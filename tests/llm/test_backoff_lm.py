@@ -12,6 +12,8 @@ from ledgerlift.llm.backoff_lm import (
     PRIOR,
     Automaton,
     Chunk,
+    Piece,
+    pieces_of,
     score_documents,
     squeeze,
     squeeze_ascending,
@@ -117,6 +119,44 @@ def test_query_counts_trigrams(spark, tmp_path):
     check(registry.queries()["op1_backoff_lm"](spark, str(tmp_path)), rows, 3)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_long_texts_in_pieces(spark, order):
+    rng = np.random.default_rng(order)
+    rows = [(i, " ".join(rng.choice(list("abcdefG"), n)), i % 3 == 0) for i, n in enumerate([900, 5, 1300, 700])]
+    rows += [(9, "x" * 50 + " " + "y" * 90 + " z", False), (9, " " * 70 + "a b", False), (None, "a " * 99, True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, out boolean").repartition(2)
+    for size in (1, 25, 1000):
+        scored = score_documents(
+            df, F.col("out"), order, chunk_tokens=300, bucket_keys=100, slice_bytes=size
+        )
+        check(scored, rows, order)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lockstep_is_the_traversal(order):
+    rng = np.random.default_rng(order)
+    texts = [" ".join(rng.choice(list("abcdefgh"), n)).encode() for n in (0, 1, 3, 700, 1500, 511, 512, 513)]
+    chunk = Chunk.of_texts(texts, [i % 2 == 0 for i in range(len(texts))])
+    levels = chunk.grams(order)
+    totals = [chunk.training_counts(g) for g in levels]
+    model = Automaton(levels, totals, 4, int(chunk.lengths[~chunk.held].sum()), int((totals[0] > 0).sum()), 2.0)
+    bounds = zip(chunk.starts, chunk.starts + chunk.lengths, strict=True)
+    expected = [model.score(chunk.tokens[i:j].tolist()) for i, j in bounds]
+    assert model.score_pieces(chunk) == pytest.approx(expected, abs=1e-9)
+
+
+def test_pieces():
+    text = b" one two  three four five\n six "
+    words = text.split()
+    for lead in range(4):
+        for size in range(1, 40):
+            pieces = list(pieces_of(text, lead, size))
+            assert [w for p in pieces for w in p.words[p.lead :]] == words
+            assert [p.last for p in pieces] == [False] * (len(pieces) - 1) + [True]
+            assert pieces[0].lead == 0 and all(p.lead == lead for p in pieces[1:])
+    assert list(pieces_of(b" ", 2)) == [Piece([], 0, True)]
+
+
 def test_odd_rows(odd_documents):
     rows = [(r.doc_id, r.text, r.doc_id == 7) for r in odd_documents.collect()]
     check(score_documents(odd_documents, F.col("doc_id") == 7), rows, 2)
