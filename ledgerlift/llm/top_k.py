@@ -10,12 +10,16 @@ bounds of what is left can still compete. Components of opposite sign only lower
 are added with the term that they belong to.
 
 Shards of the candidates meet blocks of queries, each such cell gives its own top k, and the
-cells' lists are merged.
+cells' lists are merged. One shard comes first: its k-th score is a floor with which a query begins
+in all others, so that there terms are non-essential and vectors not competitive from the first
+block on. Cells are as large as a task's memory allows, as each vector is dealt to every block.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part, nor do
 rows without an id or vectors of another length than their query; ties go to the smaller id; rows
 that repeat an id are candidates each, and all rows of a query's id are left out; an empty vector
-scores 0 with other empty ones; an empty table gives no rows; other columns are ignored.
+scores 0 with other empty ones; an empty table gives no rows; other columns are ignored. Components
+are integers; where sums of products could pass 2^63 they wrap, far beyond what ``quantized`` makes
+of embeddings. A very long vector is one row.
 """
 
 from __future__ import annotations
@@ -25,13 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import parts_for
+from ledgerlift.llm.common import parts_for, written
 
 #: Candidates of a shard, and queries of a block, about.
-SHARD_ROWS = 2048
-QUERY_ROWS = 4096
+SHARD_ROWS = 8192
+QUERY_ROWS = 16384
 #: Vectors that are traversed together; bounds are those of such a block.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
 
 
 def quantized(vector: Column, scale: int = 256) -> Column:
@@ -61,8 +65,13 @@ class Shard:
             low = part.min(axis=0, initial=0)
             self.blocks.append((ids[i : i + block_rows], np.ascontiguousarray(part.T), high, low))
 
-    def search(self, own_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best other candidates, best first."""
+    def search(
+        self, own_id: int, query: np.ndarray, k: int, least: float | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best other candidates, best first.
+
+        Those under ``least`` need not be found.
+        """
         best_ids = np.empty(0, np.int64)
         best = np.empty(0, np.int64)
         for ids, postings, high, low in self.blocks:
@@ -70,7 +79,9 @@ class Shard:
             terms = np.argsort(-bounds, kind="stable")
             # What the terms from each place on can add at most.
             rest = np.append(np.cumsum(bounds[terms][::-1])[::-1], 0)
-            floor = best[k - 1] if len(best) >= k else None
+            floor = best[k - 1] if len(best) >= k else least
+            if floor is not None and least is not None:
+                floor = max(floor, least)
             if floor is not None and rest[0] < floor:
                 continue
             # Essential are the terms up to the first whose rest stays below the floor.
@@ -138,9 +149,8 @@ def top_k_inner(
     queries = rows.where("is_query").dropDuplicates(["vec_id", "vector"]).select(
         every_shard.alias("shard"),
         F.pmod(deal, F.lit(blocks)).cast("int").alias("query_block"),
-        "vec_id",
-        "vector",
-        "n",
+        # New names for Spark, since candidates have the same columns.
+        *(F.col(c).alias(c) for c in ("vec_id", "vector", "n")),
     )
 
     def search(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -158,18 +168,35 @@ def top_k_inner(
                 matrix = np.array(own["vector"].tolist(), np.int64).reshape(len(own), n)
                 points = np.array(wanted["vector"].tolist(), np.int64).reshape(len(wanted), n)
             shard = Shard(own["vec_id"].to_numpy(np.int64), matrix)
-            for query_id, query in zip(wanted["vec_id"], points, strict=True):
-                ids, scores = shard.search(query_id, query, k)
+            floors = wanted["floor"].tolist()
+            for query_id, query, floor in zip(wanted["vec_id"], points, floors, strict=True):
+                least = None if floor is None or floor != floor or not exact else floor
+                ids, scores = shard.search(query_id, query, k, least)
                 found.append((np.full(len(ids), query_id), ids, scores.astype(np.int64)))
         columns = zip(*found, strict=True) if found else [[np.empty(0, np.int64)]] * 3
         return pd.DataFrame(
             dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, columns), strict=True))
         )
 
-    cells = candidates.groupBy("shard", "query_block").cogroup(
-        queries.groupBy("shard", "query_block")
+    def searched(which: Column, queries: DataFrame) -> DataFrame:
+        cells = candidates.where(which).groupBy("shard", "query_block")
+        asked = queries.where(which).groupBy("shard", "query_block")
+        schema = "query_id bigint, vec_id bigint, score bigint"
+        return cells.cogroup(asked).applyInPandas(search, schema)
+
+    lists = searched(
+        F.col("shard") == 0, queries.withColumn("floor", F.lit(None).cast("double"))
     )
-    lists = cells.applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    if shards > 1:
+        lists = written(lists, "first-shard")
+        full = lists.groupBy(F.col("query_id").alias("vec_id")).agg(
+            F.sort_array(F.collect_list("score"), asc=False).alias("scores")
+        )
+        # Below 2^53 a score is the same as a double.
+        floors = full.select("vec_id", F.get("scores", F.lit(k - 1)).cast("double").alias("floor"))
+        lists = lists.unionByName(
+            searched(F.col("shard") > 0, queries.join(floors, "vec_id", "left"))
+        )
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         lists.withColumn("rank", F.row_number().over(best_first))

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import registry
-from ledgerlift.llm.top_k import quantized, top_k_inner
+from ledgerlift.llm.top_k import Shard, quantized, top_k_inner
 
 
 def brute_force(vectors, is_query, k):
@@ -46,6 +46,31 @@ def test_pruning_is_exact_within_a_shard(spark):
     assert {tuple(r) for r in rows} == brute_force(vectors, lambda i: i % 500 == 0, 3)
 
 
+def test_a_floor_leaves_out_only_what_is_below_it():
+    rng = np.random.default_rng(5)
+    vectors, query = rng.integers(-50, 50, (2000, 16)).astype(float), rng.integers(-50, 50, 16).astype(float)
+    scores = np.sort(vectors @ query)[::-1]
+    shard = Shard(np.arange(2000), vectors, 100)
+    for floor in (None, scores[-1], scores[3], scores[9], scores[0], scores[0] + 1):
+        _, found = shard.search(-1, query, 5, floor)
+        expected = [x for x in scores[:5] if floor is None or x >= floor]
+        assert found[: len(expected)].tolist() == expected
+        assert all(x < floor for x in found[len(expected) :])
+
+
+def test_a_query_id_with_several_vectors_and_floors(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(i % 40, rng.integers(-9, 9, 6).tolist()) for i in range(200)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, vector array<bigint>")
+    rows = top_k_inner(df, F.col("vec_id") == 0, 4, shard_rows=20, query_rows=2).collect()
+    ranked = sorted(
+        (-int(np.dot(q, v)), i) for j, q in vectors if j == 0 for i, v in vectors if i != 0
+    )
+    assert [(r.rank, -r.score) for r in sorted(rows, key=lambda r: r.rank)] == [
+        (rank, score) for rank, (score, _) in enumerate(ranked[:4], 1)
+    ]
+
+
 def test_few_candidates(spark):
     assert search(spark, [(0, [1, 2]), (1, [3, 4])], 5) == {(0, 1, 1, 11)}
     assert search(spark, [(0, [1, 2])], 5) == set()
