@@ -8,8 +8,9 @@ The files are Parquet tables of such blocks, written and read by Spark alone, so
 any store and appear only when their writer has committed.
 
 Defined cases: a null or empty text has the end id alone; rows with the same ``doc_id`` are
-documents of their own, in the order of their texts; a null ``doc_id`` comes first; an empty
-table gives an empty folder of files and no rows; columns other than id and text are ignored.
+documents of their own, ordered by a hash of their texts and then by these; a null ``doc_id`` comes
+first; a very long text is one block; an empty table gives an empty folder of files and no rows;
+columns other than id and text are ignored.
 """
 
 from __future__ import annotations
