@@ -195,8 +195,8 @@ def cut_pieces(
         seen = defaultdict(int)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                ids = pieces.encode(text) + end
+            for doc_id, text in zip(batch[0], batch[1], strict=True):
+                doc_id, ids = doc_id.as_py(), pieces.encode(text.as_py()) + end
                 for piece, at in enumerate(range(0, len(ids), capacity * size)):
                     own = ids[at : at + capacity * size]
                     length = len(own) // size

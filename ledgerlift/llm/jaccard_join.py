@@ -131,8 +131,8 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             classes, sizes = [], []
-            for text in batch.column("text").to_pylist():
-                grams = shingles(text, n)
+            for text in batch.column("text"):
+                grams = shingles(text.as_py(), n)
                 classes.append(class_of(grams) if len(grams) else None)
                 sizes.append(len(grams))
                 np.add.at(sketch, (grams >> shift).astype(np.int64), 1)
@@ -155,8 +155,8 @@ def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Data
         counts = shared.value
         for batch in batches:
             found = []
-            for text in batch.column("text").to_pylist():
-                grams = shingles(text, n)
+            for text in batch.column("text"):
+                grams = shingles(text.as_py(), n)
                 if not len(grams):
                     continue
                 own = class_of(grams)
@@ -222,8 +222,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = shingles(x, n), shingles(y, n)
+            for a, b, x, y in zip(*batch.columns, strict=True):
+                a, b, x, y = a.as_py(), b.as_py(), shingles(x.as_py(), n), shingles(y.as_py(), n)
                 least = -(-percent * (len(x) + len(y)) // (100 + percent))
                 common = overlap(x, y, least)
                 if common >= least:

@@ -11,14 +11,15 @@ that no input exceeds; scoring is one pass over all documents in Arrow batches.
 Defined cases: a null or empty text has the features of an empty one and a score like any other;
 labels that are null or of unknown documents are left out, repeated labels are examples each;
 without labels every score is 0.5, with labels of one class the score leans to that class;
-repeated rows and null ids are scored each; an empty table gives no rows; other columns pass, but
-for one named ``score``, which is replaced.
+repeated rows and null ids are scored each; a very long text is split into words whole, one text at a
+time; an empty table gives no rows; other columns pass whatever their names, but for one named
+``score``, which is replaced.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 from operator import eq
 from typing import NamedTuple
@@ -204,11 +205,12 @@ def fit(features: np.ndarray, labels: np.ndarray, settings: Settings = Settings(
     return Model(intercept, edges, tables, pairs, pair_edges, pair_tables)
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("_text").to_pylist()
+def _texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
+    """A batch's texts one at a time; null is an empty one."""
+    return (text.as_py() or b"" for text in batch.column(name).cast(pa.binary()))
 
 
-def _feature_rows(texts: list[bytes]) -> np.ndarray:
+def _feature_rows(texts: Iterable[bytes]) -> np.ndarray:
     return np.array([text_features(t) for t in texts], np.float64).reshape(-1, len(FEATURES))
 
 
@@ -231,7 +233,7 @@ def labelled_features(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _feature_rows(_texts(batch))
+            found = _feature_rows(_texts(batch, "_text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_label"), pa.array(found.tolist(), pa.list_(pa.float64()))],
                 names=["doc_id", "label", "features"],
@@ -264,18 +266,22 @@ def fit_model(
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with the ``score`` of each text."""
-    kept = [c for c in docs.columns if c not in ("score", "_text")]
+    kept = [c for c in docs.columns if c != "score"]
     schema = T.StructType([docs.schema[c] for c in kept]).add("score", "double")
+    # Texts go to the workers once; under a new name only where they are no column to return.
+    name = "text" if "text" in kept and docs.schema["text"].dataType == T.StringType() else "_text"
+    while name != "text" and name in kept:
+        name = f"_{name}"
+    texts = [] if name == "text" else [text_or_empty().alias(name)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.score(_feature_rows(_texts(batch)))
+            scores = model.score(_feature_rows(_texts(batch, name)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(scores)], names=[*kept, "score"]
             )
 
-    texts = docs.select(*kept, text_or_empty().cast("binary").alias("_text"))
-    return texts.mapInArrow(score, schema)
+    return docs.select(*kept, *texts).mapInArrow(score, schema)
 
 
 def predicted(threshold: float = 0.3) -> Column:

@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -40,13 +42,7 @@ def test_score_is_the_sum_of_lookups():
     x = rng.normal(size=(500, 4)).round(1)
     model = fit(x, (x.sum(axis=1) > 0).astype(float), Settings(rounds=10, pair_rounds=5))
     for row, score in zip(x[:50], model.score(x[:50]), strict=True):
-        total = model.intercept
-        for k, value in enumerate(row):
-            total += model.tables[k][sum(e <= value for e in model.edges[k])]
-        for (i, j), values in zip(model.pairs, model.pair_tables, strict=True):
-            at = [sum(e <= row[k] for e in model.pair_edges[k]) for k in (i, j)]
-            total += values[at[0], at[1]]
-        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+        assert score == pytest.approx(plain_score(model, row))
 
 
 def test_few_labels():
@@ -76,6 +72,71 @@ def test_query_on_held_out_labels(spark, sf_dir, documents):
     assert np.mean([[g > b for b in bad] for g in good]) >= 0.97
 
 
+def plain_features(text):
+    """The features by their names, character by character."""
+    data = (text or "").encode()
+    words, lines = re.findall(rb"[^\x20\x09-\x0D]+", data), data.split(b"\n")
+    size, n = len(data) or 1, len(words) or 1
+    kinds = [
+        lambda c: 65 <= c <= 90,
+        lambda c: 48 <= c <= 57,
+        lambda c: chr(c) in "#*$%&|<>",
+        lambda c: chr(c) in ".,;:",
+        lambda c: chr(c) in "!?",
+        lambda c: c == 32 or 9 <= c <= 13,
+        lambda c: c > 127,
+    ]
+    often = {w: words.count(w) for w in set(words)}
+    return [
+        math.log(1 + len(data)),
+        math.log(1 + len(words)),
+        sum(len(w) for w in words) / n,
+        math.log(1 + max([len(w) for w in words], default=0)),
+        *(sum(kind(c) for c in data) / size for kind in kinds),
+        len(often) / n,
+        max(often.values(), default=0) / n,
+        sum(words[i] == words[i + 1] for i in range(len(words) - 1)) / n,
+        math.log(1 + len(lines)),
+        len(set(lines)) / len(lines),
+    ]
+
+
+def plain_score(model, row):
+    total = model.intercept
+    for k, value in enumerate(row):
+        total += model.tables[k][sum(e <= value for e in model.edges[k])]
+    for (i, j), values in zip(model.pairs, model.pair_tables, strict=True):
+        at = [sum(e <= row[k] for e in model.pair_edges[k]) for k in (i, j)]
+        total += values[at[0], at[1]]
+    return 1 / (1 + math.exp(-total))
+
+
+def test_query_matches_plain_features_and_lookups(spark, sf_dir, documents):
+    found = {r.doc_id: r for r in registry.queries()["op5_quality_model"](spark, sf_dir).collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    learned = {r.doc_id: r.quality for r in labels if zlib.crc32(str(r.doc_id).encode()) % 5}
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    rows = {i: plain_features(t) for i, t in texts.items()}
+    ids = [i for i in learned if i in rows]
+    model = fit(np.array([rows[i] for i in ids]), np.array([learned[i] for i in ids], float))
+    assert len(found) == len(rows)
+    for i, row in rows.items():
+        assert text_features((texts[i] or "").encode()) == pytest.approx(row, rel=1e-12)
+        assert found[i].score == pytest.approx(plain_score(model, row), abs=1e-6)
+
+
+def test_columns_of_any_name_pass(spark, odd_documents):
+    labels = spark.createDataFrame([(0, 1), (3, 0)], "doc_id bigint, label int")
+    docs = odd_documents.withColumns({c: F.lit("theirs") for c in ("_text", "__text", "features")})
+    model = fit_model(docs, labels)
+    for given in (docs, docs.withColumn("text", F.col("text").cast("binary")), docs.drop("text")):
+        if "text" not in given.columns:
+            given = given.join(docs.select("doc_id", "text"), "doc_id")
+        scored = score_documents(given, model)
+        assert scored.columns == [*given.columns, "score"]
+        assert all(r["_text"] == r["__text"] == "theirs" for r in scored.collect())
+
+
 def test_labels_are_bounded_and_runs_agree(spark, sf_dir, documents):
     labels = registry.quality_labels(spark, sf_dir)
     first = labelled_features(documents, labels, max_rows=50)
