@@ -124,8 +124,9 @@ def remove_boilerplate(
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.collect_set("line").alias("_found"))
     )
-    # Beside the row, so that no column of the documents can clash.
-    rows = docs.select(F.struct(*columns).alias("_row"), "doc_id", _text_hash().alias("_own"), "text")
+    # The others in one column, so that none of any name can clash; the text is shuffled but once.
+    others = F.struct(*(c for c in columns if c != "text")).alias("_row")
+    rows = docs.select(others, "doc_id", _text_hash().alias("_own"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash"))
     split = rows.join(of_doc, same, "left").withColumn("_lines", _lines(F.col("text")))
     # Short lines are not boilerplate even if their hash should be that of another line.
