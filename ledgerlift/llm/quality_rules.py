@@ -189,14 +189,18 @@ def fit_references(featured: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def _averages(shares: DataFrame) -> DataFrame:
+    """The mean histograms of each language; bin by bin, so that no row has an aggregate for each."""
+    bins = shares.select("lang", F.posexplode(F.concat("classes", "words")).alias("bin", "share"))
     # Averages of doubles depend on the order of the rows in their last digits; rounding them
     # gives every run the same references.
-    sizes = {"classes": len(CLASSES) + 1, "words": len(COMMON_WORDS) + 1}
-    means = [
-        F.array(*(F.round(F.avg(F.col(c)[i]), 9) for i in range(n))).alias(c)
-        for c, n in sizes.items()
-    ]
-    return shares.groupBy("lang").agg(*means)
+    means = bins.groupBy("lang", "bin").agg(F.round(F.avg("share"), 9).alias("mean"))
+    in_order = F.array_sort(F.collect_list(F.struct("bin", "mean")))
+    both = F.transform(in_order, lambda x: x["mean"])
+    first = len(CLASSES) + 1
+    return means.groupBy("lang").agg(
+        F.slice(both, 1, first).alias("classes"),
+        F.slice(both, first + 1, len(COMMON_WORDS) + 1).alias("words"),
+    )
 
 
 def features(docs: DataFrame) -> DataFrame:
