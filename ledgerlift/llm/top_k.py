@@ -35,7 +35,7 @@ from ledgerlift.llm.common import parts_for, written
 SHARD_ROWS = 8192
 QUERY_ROWS = 16384
 #: Vectors that are traversed together; bounds are those of such a block.
-BLOCK_ROWS = 512
+BLOCK_ROWS = 4096
 
 
 def quantized(vector: Column, scale: int = 256) -> Column:

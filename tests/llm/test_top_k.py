@@ -42,8 +42,15 @@ def test_pruning_is_exact_within_a_shard(spark):
         (i, (centres[i % 5] + rng.normal(0, 3, 16)).astype(int).tolist()) for i in range(4000)
     ]
     df = spark.createDataFrame(vectors, "vec_id bigint, vector array<bigint>")
+    expected = brute_force(vectors, lambda i: i % 500 == 0, 3)
     rows = top_k_inner(df, F.col("vec_id") % 500 == 0, 3).collect()
-    assert {tuple(r) for r in rows} == brute_force(vectors, lambda i: i % 500 == 0, 3)
+    assert {tuple(r) for r in rows} == expected
+    matrix = np.array([v for _, v in vectors], float)
+    shard = Shard(np.arange(len(vectors)), matrix, 256)
+    for i in range(0, 4000, 500):
+        ids, scores = shard.search(i, matrix[i], 3)
+        found = set(zip([i] * 3, range(1, 4), ids.tolist(), scores.tolist(), strict=True))
+        assert found == {e for e in expected if e[0] == i}
 
 
 def test_a_floor_leaves_out_only_what_is_below_it():
