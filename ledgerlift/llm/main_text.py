@@ -4,8 +4,14 @@ A page becomes blocks of text in page order, and the token streams of a host's p
 concatenated. Their suffix array, with the longest common prefix of each two neighbours, gives for
 every position the longest run from there that enough distinct pages have. Runs of a few tokens on a
 share of the pages, and long ones on a few pages, are boilerplate; covered tokens go, unique runs
-stay. A host of many pages is dealt out by a hash of the page into shards of a few hundred, and a
-share means the same in a shard as in the host; equal pages of a shard are one.
+stay. Equal pages of a host are one.
+
+A host of many pages is dealt out by a hash of the page into shards of a few hundred, with a suffix
+array each. Its runs are counted over all of its shards: a run on a share of the host's pages is on
+that share of some shard's, so the shards' own runs are all that can be, and every shard counts them.
+Long runs are known by anchors, the least of the hashes of the shorter runs in them, which are the
+same wherever the long run is; those whose anchor has enough pages in all shards are counted. So the
+shards change no result, but for runs that are told apart by hashes of 64 bits.
 
 What a page says of its elements corrects that. An article that the page marks (``article``, or
 ``main`` if no article has text) is restored whole, also passages that other pages have, and unique
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 from typing import NamedTuple
 
@@ -264,6 +271,16 @@ class SuffixArray:
                 x[same] += 1 << k
         self.common = np.concatenate([[0], common])
 
+    def pages_with(self, length: int, counted: np.ndarray) -> np.ndarray:
+        """For each position, how many of the ``counted`` pages have the run of ``length`` from there."""
+        same = np.cumsum(self.common < length) - 1  # suffixes with one number begin alike
+        page = self.page[self.suffixes]
+        taken = counted[page]
+        found = np.unique(same[taken] * len(counted) + page[taken]) // max(len(counted), 1)
+        out = np.zeros(len(page), np.int64)
+        out[self.suffixes] = np.bincount(found, minlength=len(page))[same]
+        return out
+
     def longest_runs(self, pages: int) -> np.ndarray:
         """For each position, the longest run from there that so many distinct pages have, two at least.
 
@@ -358,15 +375,19 @@ _HOST = r"^(?:[^:/?#]+:)?//([^/?#]*)"
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``host``, a number of its own (``row``) and the blocks of each page."""
+    """``page_id``, ``url``, ``host``, a number of its own (``row``) and the blocks of each page.
+
+    ``content`` is a hash of the page, which the first of equal pages of a task ``lead``.
+    """
     schema = (
         "row bigint, page_id bigint, url string, host string, "
-        "kinds binary, marks binary, links binary, texts string"
+        "kinds binary, marks binary, links binary, texts string, content bigint, lead boolean"
     )
     names = [f.split()[0] for f in schema.split(", ")]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 32
+        seen: set[bytes] = set()
         for batch in batches:
             blocks = [blocks_of(html.as_py()) for html in batch.column("html")]
             found = [
@@ -374,12 +395,21 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 for x in blocks
             ]
             kinds, marks, links = zip(*found, strict=True) if found else ((), (), ())
+            # White space inside a block is one blank, so a line break tells blocks apart.
+            texts = ["\n".join(b.text for b in x) for x in blocks]
+            digests, lead = [], []
+            for host, marked, text in zip(batch.column("host").to_pylist(), found, texts, strict=True):
+                told = f"{len(host)} {len(text)} {host}{text}".encode()
+                digests.append(blake2b(told + b"".join(marked), digest_size=16).digest())
+                lead.append(digests[-1] not in seen)
+                seen.add(digests[-1])
             columns = [
                 pa.array(range(row, row + len(blocks)), pa.int64()),
                 *(batch.column(c) for c in ("page_id", "url", "host")),
                 *(pa.array(c, pa.binary()) for c in (kinds, marks, links)),
-                # White space inside a block is one blank, so a line break tells blocks apart.
-                pa.array(["\n".join(b.text for b in x) for x in blocks], pa.string()),
+                pa.array(texts, pa.string()),
+                pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64()),
+                pa.array(lead, pa.bool_()),
             ]
             row += len(blocks)
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -402,32 +432,234 @@ class Rules(NamedTuple):
     min_share: float = MIN_SHARE
     long_run: int = LONG_RUN
 
+    def repeats(self, n: int) -> list[tuple[int, int]]:
+        """How long runs on how many of a host's ``n`` pages are repeated ones: short and long ones."""
+        share = int(np.ceil(self.min_share * n))
+        return [(self.min_run, max(self.min_pages, share, 2)), (self.long_run, max(self.min_pages, 2))]
+
+
+class Streams:
+    """The token streams of some pages, one after another. Equal pages are one."""
+
+    def __init__(self, pages: list[list[Block]]):
+        numbers: dict[tuple, int] = {}
+        #: Which of the distinct pages each page is.
+        self.same = [numbers.setdefault(tuple(blocks), len(numbers)) for blocks in pages]
+        self.pages = [list(blocks) for blocks in numbers]
+        words: dict[str, int] = {}
+        streams = [
+            [words.setdefault(w, len(words)) for block in blocks for w in block.text.split(" ")]
+            for blocks in self.pages
+        ]
+        self.words = list(words)
+        # The number after a page's stream is negative and its own.
+        self.tokens = np.array([x for i, stream in enumerate(streams) for x in (*stream, -1 - i)], np.int64)
+        self.sizes = np.array([len(stream) + 1 for stream in streams], np.int64)
+        self.page = np.repeat(np.arange(len(streams)), self.sizes)
+        #: How many tokens the page has from each position on.
+        self.left = np.repeat(np.cumsum(self.sizes), self.sizes) - np.arange(len(self.tokens)) - 1
+
+    def run_keys(self, length: int, site: int) -> np.ndarray:
+        """A hash of the site and the run of ``length`` from each position; any where the page is over."""
+        hashes = pd.util.hash_array(np.array(self.words, object), categorize=False)
+        level = np.zeros(len(self.tokens), np.uint64)
+        level[self.tokens >= 0] = hashes[self.tokens[self.tokens >= 0]]
+        out, done, bit = np.zeros_like(level), 0, 1
+        while done < length:
+            if length & bit:
+                out += _ahead(level, done, 0) * _power(done)
+                done += bit
+            level = level + _ahead(level, bit, 0) * _power(bit)
+            bit *= 2
+        return _mixed(out + np.uint64((site * 0x9E3779B97F4A7C15 + length) % 2**64))
+
+    def anchors(self, length: int, site: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each position the anchor of the run of ``length`` from there, and the keys that it is of."""
+        keys = self.run_keys(anchor_length(length), site)
+        least, width, done = keys, length - anchor_length(length) + 1, 1
+        while done < width:
+            step = min(done, width - done)
+            least = np.minimum(least, _ahead(least, step, _LAST))
+            done += step
+        return least, keys
+
+    def texts(self, covered: np.ndarray, told: bool) -> list[tuple[str, int]]:
+        """For each page its text, and how many tokens of a marked article are ``covered``."""
+        out = []
+        for blocks, end, size in zip(self.pages, np.cumsum(self.sizes), self.sizes, strict=True):
+            lengths = [block.text.count(" ") + 1 for block in blocks]
+            of_blocks = np.split(covered[end - size : end - 1], np.cumsum(lengths)[:-1]) if blocks else []
+            restored = sum(int(of_blocks[i].sum()) for i in article_of(blocks))
+            out.append((text_of(blocks, of_blocks, told), restored))
+        return [out[i] for i in self.same]
+
+
+_LAST = np.uint64(2**64 - 1)
+
+
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(0xD1342543DE82EF95, exponent, 2**64))
+
+
+def _ahead(values: np.ndarray, by: int, rest: int | np.uint64) -> np.ndarray:
+    """For each place the value so many places on; ``rest`` beyond the last."""
+    out = np.full_like(values, rest)
+    out[: max(len(values) - by, 0)] = values[by:]
+    return out
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def anchor_length(length: int) -> int:
+    return max(length // 3, 1)
+
 
 def shard_texts(pages: list[list[Block]], rules: Rules = Rules()) -> list[tuple[str, int]]:
-    """For each page of a shard its text, and how many tokens of a marked article are repeated ones.
+    """For each page of a whole host its text, and how many tokens of a marked article are repeated ones.
 
     Equal pages are one in the suffix array.
     """
-    numbers: dict[tuple, int] = {}
-    same = [numbers.setdefault(tuple(blocks), len(numbers)) for blocks in pages]
-    words: dict[str, int] = {}
-    streams = [
-        [words.setdefault(w, len(words)) for block in blocks for w in block.text.split(" ")]
-        for blocks in numbers
-    ]
-    # The number after a page's stream is negative and its own.
-    tokens = np.array([x for i, stream in enumerate(streams) for x in (*stream, -1 - i)], np.int64)
-    sizes = np.array([len(stream) + 1 for stream in streams], np.int64)
-    page = np.repeat(np.arange(len(streams)), sizes)
-    needed = max(rules.min_pages, int(np.ceil(rules.min_share * len(streams))))
-    covered = repeated(tokens, page, [(rules.min_run, needed), (rules.long_run, rules.min_pages)])
-    told, out = len(streams) >= rules.min_pages, []
-    for blocks, end, size in zip(numbers, np.cumsum(sizes), sizes, strict=True):
-        lengths = [block.text.count(" ") + 1 for block in blocks]
-        of_blocks = np.split(covered[end - size : end - 1], np.cumsum(lengths)[:-1]) if blocks else []
-        restored = sum(int(of_blocks[i].sum()) for i in article_of(list(blocks)))
-        out.append((text_of(list(blocks), of_blocks, told), restored))
-    return [out[i] for i in same]
+    streams = Streams(pages)
+    n = len(streams.pages)
+    covered = repeated(streams.tokens, streams.page, rules.repeats(n))
+    return streams.texts(covered, n >= rules.min_pages)
+
+
+#: What a message tells of a host: its pages and possible short runs, anchors, and runs of each rule.
+SITE, ANCHOR, SHORT, LONG = range(4)
+#: A message to the ``bucket`` that adds up, or from there to a group. Of the ``group``'s pages of a
+#: site, ``counts`` have each of the ``keys``; those of ``least`` pages in all go back to the group.
+_MESSAGE = "bucket int, `group` int, site bigint, kind int, least bigint, keys binary, counts binary"
+_MESSAGE_COLUMNS = ["bucket", "group", "site", "kind", "least", "keys", "counts"]
+#: Pages whose keys one bucket adds up, about.
+BUCKET_PAGES = 4096
+
+
+class Shard(NamedTuple):
+    """A group's pages of one large host."""
+
+    rows: pd.DataFrame
+    group: int
+    site: int
+    streams: Streams
+    leads: np.ndarray  #: which distinct pages count here; others are counted in another shard
+
+
+def _shards(group: pd.DataFrame) -> Iterator[Shard]:
+    for _, rows in group[group["large"]].sort_values("row").groupby("host", sort=True):
+        streams = Streams(_pages(rows))
+        leads = np.zeros(len(streams.pages), bool)
+        leads[np.array(streams.same)[rows["lead"].to_numpy(bool)]] = True
+        yield Shard(rows, int(rows["group"].iloc[0]), int(rows["site"].iloc[0]), streams, leads)
+
+
+def _pages(rows: pd.DataFrame) -> list[list[Block]]:
+    return [_blocks(*page) for page in zip(*(rows[c] for c in ("kinds", "marks", "links", "texts")), strict=True)]
+
+
+def _messages(
+    shard: Shard, kind: int, least: int, keys: np.ndarray, counts: np.ndarray, buckets: int
+) -> Iterator[tuple]:
+    """Each key to the bucket that adds up its counts."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.diff(bucket[order])) + 1
+    for part in np.split(order, ends) if len(keys) else ():
+        yield (
+            int(bucket[part[0]]), shard.group, shard.site, kind, least,
+            keys[part].tobytes(), counts[part].astype(np.uint32).tobytes(),
+        )
+
+
+def _local_runs(shard: Shard, rules: Rules, buckets: int) -> Iterator[tuple]:
+    """What short runs of a shard may be repeated ones of the host, and all anchors of long runs."""
+    streams, n = shard.streams, int(shard.leads.sum())
+    array = SuffixArray(streams.tokens, streams.page)
+    pages = array.pages_with(rules.min_run, shard.leads)
+    # Some shard has the host's share at least; less a little, as these are floating-point numbers.
+    may = (streams.left >= rules.min_run) & (pages > 0) & (pages >= rules.min_share * n - 1e-6)
+    keys = np.unique(streams.run_keys(rules.min_run, shard.site)[may])
+    yield shard.site % buckets, shard.group, shard.site, SITE, n, keys.tobytes(), b""
+    length = anchor_length(rules.long_run)
+    least, keys = streams.anchors(rules.long_run, shard.site)
+    found = np.unique(least[streams.left >= rules.long_run])
+    if len(found):
+        number = np.minimum(np.searchsorted(found, keys), len(found) - 1)
+        at = np.flatnonzero((streams.left >= length) & (found[number] == keys))
+        counts = np.zeros(len(found), np.int64)
+        counts[number[at]] = array.pages_with(length, shard.leads)[at]
+        yield from _messages(shard, ANCHOR, max(rules.min_pages, 2), found, counts, buckets)
+
+
+def _counted_runs(
+    shard: Shard, told: dict[tuple[int, int], np.ndarray], n: int, rules: Rules, buckets: int
+) -> Iterator[tuple]:
+    """How many pages of a shard have each run that may be a repeated one of the host."""
+    streams = shard.streams
+    yield shard.site % buckets, shard.group, shard.site, SITE, shard.leads.sum(), b"", b""
+    for (length, least), kind, by in zip(rules.repeats(n), (SHORT, LONG), (SITE, ANCHOR), strict=True):
+        if (known := told.get((shard.site, by))) is None:
+            continue
+        keys = streams.run_keys(length, shard.site)
+        marks = streams.anchors(length, shard.site)[0] if by == ANCHOR else keys
+        at = np.flatnonzero((streams.left >= length) & np.isin(marks, known))
+        found, number = np.unique(keys[at], return_inverse=True)
+        pairs = np.unique(number * len(shard.leads) + streams.page[at])
+        counts = np.zeros(len(found), np.int64)
+        np.add.at(counts, pairs // len(shard.leads), shard.leads[pairs % len(shard.leads)])
+        yield from _messages(shard, kind, least, found, counts, buckets)
+
+
+def _covered(shard: Shard, told: dict[tuple[int, int], np.ndarray], rules: Rules) -> np.ndarray:
+    """Which tokens of a shard lie in a run that the host repeats."""
+    streams = shard.streams
+    edges = np.zeros(len(streams.tokens) + 1, np.int64)
+    for kind, length in ((SHORT, rules.min_run), (LONG, rules.long_run)):
+        if (known := told.get((shard.site, kind))) is not None:
+            keys = streams.run_keys(length, shard.site)
+            at = np.flatnonzero((streams.left >= length) & np.isin(keys, known))
+            edges[at] += 1
+            edges[at + length] -= 1
+    return np.cumsum(edges[:-1]) > 0
+
+
+def _added_up(messages: pd.DataFrame) -> pd.DataFrame:
+    """The messages of a bucket, each with those of its keys that have pages enough in all groups."""
+    out = []
+    sites = messages[messages["kind"] == SITE]
+    for site, rows in sites.groupby("site"):
+        keys = np.unique(np.frombuffer(b"".join(rows["keys"]), np.uint64)).tobytes()
+        n = int(rows["least"].sum())
+        out += [(0, int(group), int(site), SITE, n, keys, b"") for group in rows["group"].unique()]
+    for kind, rows in messages[messages["kind"] != SITE].groupby("kind"):
+        keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
+        counts = np.frombuffer(b"".join(rows["counts"]), np.uint32)
+        _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+        sizes = [len(x) // 8 for x in rows["keys"]]
+        least = np.repeat(rows["least"].to_numpy(np.int64), sizes)
+        enough = (np.bincount(number, counts) >= least[first])[number]
+        for of, ok, group, site in zip(
+            np.split(keys, np.cumsum(sizes)[:-1]), np.split(enough, np.cumsum(sizes)[:-1]),
+            rows["group"], rows["site"], strict=True,
+        ):
+            if ok.any():
+                out.append((0, int(group), int(site), int(kind), 0, of[ok].tobytes(), b""))
+    return pd.DataFrame(out, columns=_MESSAGE_COLUMNS)
+
+
+def _told(messages: pd.DataFrame) -> tuple[dict[int, int], dict[tuple[int, int], np.ndarray]]:
+    """From the messages to a group: the pages of each site, and its keys of each kind."""
+    sites = messages[messages["kind"] == SITE]
+    pages = dict(zip(sites["site"].tolist(), sites["least"].tolist(), strict=True))
+    keys = {
+        (int(site), int(kind)): np.frombuffer(b"".join(rows["keys"]), np.uint64)
+        for (site, kind), rows in messages.groupby(["site", "kind"])
+    }
+    return pages, keys
 
 
 def main_text(
@@ -441,7 +673,8 @@ def main_text(
     """``page_id``, ``url``, ``text``, ``n_chars`` and ``n_repeated`` of each of ``pages`` (``html``).
 
     ``n_repeated`` counts the tokens of a marked article that its site repeats and that were restored.
-    Pages are parsed once, and their blocks are shuffled once.
+    Pages are parsed once, and their blocks are shuffled once. ``shard_pages`` says how many pages of a
+    host share a suffix array and changes no result.
     """
     rules = Rules(min_run, min_pages, min_share, long_run)
     url = F.col("url").cast("string")
@@ -451,39 +684,79 @@ def main_text(
         F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1)).alias("host"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    counts = written(given.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    sizes = F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("html")).alias("distinct")
+    counts = written(given.groupBy("host").agg(*sizes), "hosts")
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    total, largest = total or 0, largest or 0
     # Hosts of one shard need no number, so only larger ones are joined.
     large = written(
         counts.where(F.col("n") > shard_pages).select(
-            "host", F.ceil(F.col("n") / shard_pages).alias("shards")
+            "host",
+            F.ceil(F.col("n") / shard_pages).alias("shards"),
+            F.ceil(F.greatest("distinct", F.lit(1)) / shard_pages).alias("lead_shards"),
         ),
         "large-hosts",
     )
-    shard = F.coalesce(F.pmod(F.xxhash64("row"), F.col("shards")), F.lit(0)).alias("shard")
-    dealt = _parsed(given).join(large, "host", "left").withColumn("shard", shard).drop("shards")
+    # Equal pages lead in one shard. The others of a task, which may be many, are dealt out alike.
+    shard = F.when(F.col("lead"), F.pmod("content", F.col("lead_shards"))).otherwise(
+        F.pmod(F.xxhash64("row"), F.col("shards"))
+    )
+    dealt = _parsed(given).join(large, "host", "left")
     # Shards of small hosts share groups, of which there are many more than tasks.
-    groups = F.pmod(F.xxhash64("host", "shard"), F.lit(parts_for(total, shard_pages)))
+    groups = F.pmod(F.xxhash64("host", F.coalesce(shard, F.lit(0))), F.lit(parts_for(total, shard_pages)))
+    grouped = dealt.select(
+        # As text, since pandas would make floating-point numbers of ids with a null among them.
+        *(groups.cast("int").alias("group"), F.col("page_id").cast("string").alias("page_id"), "url", "host"),
+        *("row", "kinds", "marks", "links", "texts", "lead"),
+        F.col("shards").isNotNull().alias("large"),
+        F.xxhash64("host").alias("site"),
+    ).groupBy("group")
+    buckets = parts_for(total, BUCKET_PAGES)
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        found = [m for shard in _shards(group) for m in _local_runs(shard, rules, buckets)]
+        return pd.DataFrame(found, columns=_MESSAGE_COLUMNS)
+
+    def count(group: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
+        n, told = _told(messages)
+        found = [m for s in _shards(group) for m in _counted_runs(s, told, n[s.site], rules, buckets)]
+        return pd.DataFrame(found, columns=_MESSAGE_COLUMNS)
+
+    def tell_small(group: pd.DataFrame) -> list[pd.DataFrame]:
+        found = []
+        for _, rows in group[~group["large"]].sort_values("row").groupby("host", sort=True):
+            found.append(_with_texts(rows, shard_texts(_pages(rows), rules)))
+        return found
 
     def tell(group: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for _, shard in group.sort_values("row").groupby(["host", "shard"], sort=True):
-            columns = (shard[c] for c in ("kinds", "marks", "links", "texts"))
-            texts = shard_texts([_blocks(*page) for page in zip(*columns, strict=True)], rules)
-            text, n_repeated = zip(*texts, strict=True)
-            found.append(shard[["page_id", "url"]].assign(text=text, n_repeated=n_repeated))
+        return pd.concat(tell_small(group))
+
+    def tell_all(group: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
+        n, told = _told(messages)
+        found = tell_small(group)
+        for shard in _shards(group):
+            texts = shard.streams.texts(_covered(shard, told, rules), n[shard.site] >= min_pages)
+            found.append(_with_texts(shard.rows, texts))
         return pd.concat(found)
 
-    return (
-        # As text, since pandas would make floating-point numbers of ids with a null among them.
-        dealt.withColumns({"group": groups.cast("int"), "page_id": F.col("page_id").cast("string")})
-        .groupBy("group")
-        .applyInPandas(tell, "page_id string, url string, text string, n_repeated bigint")
-        .select(
-            F.col("page_id").cast("bigint").alias("page_id"),
-            "url",
-            "text",
-            F.length("text").cast("bigint").alias("n_chars"),
-            "n_repeated",
-        )
+    schema = "page_id string, url string, text string, n_repeated bigint"
+    if largest <= shard_pages:
+        texts = grouped.applyInPandas(tell, schema)
+    else:
+        # All three read the same shuffled pages.
+        possible = grouped.applyInPandas(find, _MESSAGE).groupBy("bucket").applyInPandas(_added_up, _MESSAGE)
+        counted = grouped.cogroup(possible.groupBy("group")).applyInPandas(count, _MESSAGE)
+        repeats = counted.groupBy("bucket").applyInPandas(_added_up, _MESSAGE)
+        texts = grouped.cogroup(repeats.groupBy("group")).applyInPandas(tell_all, schema)
+    return texts.select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        "url",
+        "text",
+        F.length("text").cast("bigint").alias("n_chars"),
+        "n_repeated",
     )
+
+
+def _with_texts(rows: pd.DataFrame, texts: list[tuple[str, int]]) -> pd.DataFrame:
+    text, n_repeated = zip(*texts, strict=True)
+    return rows[["page_id", "url"]].assign(text=text, n_repeated=n_repeated)

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import registry
 from ledgerlift.llm.main_text import (
+    OPEN,
+    Block,
+    Streams,
     SuffixArray,
+    anchor_length,
     article_of,
     blocks_of,
     main_text,
@@ -224,6 +228,74 @@ def test_unmarked_pages_lose_what_a_host_repeats(spark, n, hosts):
     assert found == {i: text for i, _, _, text in pages}
 
 
+def passage(rng, n):
+    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_runs_are_counted_over_all_shards_of_a_host(spark):
+    """A long passage on three of 120 pages, and short ones on just enough and too few pages of a host."""
+    rng = random.Random(3)
+    long, enough, few = passage(rng, 50), passage(rng, 6), passage(rng, 6)
+    pages, texts = [], {}
+    for i in range(120):
+        own = [passage(rng, 8) for _ in range(3)]
+        parts = [own[0], long if i % 40 == 0 else "", own[1], enough if i % 5 == 0 else "", few if i % 5 == 1 and i > 1 else "", own[2]]
+        pages.append((i, "http://h/", "".join(f"<p>{p}</p>" for p in parts)))
+        texts[i] = "\n".join(p for p in parts if p and p not in (long, enough))
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in main_text(df, shard_pages=10).collect()} == texts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shards_change_nothing(spark, seed):
+    """Hosts of many and few pages, copies in and out of a task, marks, and runs of any length."""
+    rng = random.Random(seed)
+    said = [passage(rng, rng.randint(3, 70)) for _ in range(12)]
+    pages = []
+    for i in range(260):
+        parts = [rng.choice(said[: rng.randint(1, 12)]) if rng.random() < 0.5 else passage(rng, rng.randint(1, 20)) for _ in range(5)]
+        html = "".join(f"<p>{p}</p>" if rng.random() < 0.8 else f"<div class=widget>{p}</div>" for p in parts)
+        html = f"<article>{html}<div class=post-footer>{said[0]}</div></article>" if rng.random() < 0.2 else html
+        copies = rng.choice([1, 1, 1, 1, 2, 40]) if i % 20 == 0 else 1
+        host = rng.choice(["a", "a", "a", "b", "b", f"few{i % 30}"])
+        pages += [(i, f"http://{host}/{k}", f"{html}<!-- {k % 2} -->") for k in range(copies)]
+    pages += [(None, None, html) for _, _, html in pages[:30]]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    whole, dealt = (main_text(df, shard_pages=n).collect() for n in (10**6, 7))
+    key = str
+    assert sorted(dealt, key=key) == sorted(whole, key=key)
+    assert any(r.n_repeated for r in whole)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pages_of_runs_match_brute_force(seed):
+    rng = random.Random(seed)
+    pages = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 25))) for _ in range(8)]
+    counted = np.array([rng.random() < 0.7 for _ in pages])
+    array, at = SuffixArray(*joined(pages)), 0
+    for length in (1, 2, 3, 5):
+        found = array.pages_with(length, counted)
+        at = 0
+        for page in pages:
+            for k in range(len(page) - length + 1):
+                run = page[k : k + length]
+                assert found[at + k] == sum(run in p for p, c in zip(pages, counted, strict=True) if c)
+            at += len(page) + 1
+
+
+def test_keys_and_anchors_are_of_runs_alone():
+    """Equal runs have equal keys and anchors wherever they are, and other runs have others."""
+    words = [f"w{i}" for i in range(90)]
+    streams = Streams([[Block(OPEN, " ".join(p), False)] for p in (words, ["x", *words[10:], "y"], words[5:70])])
+    for length in (1, 6, 50):
+        keys = streams.run_keys(length, -7)
+        assert keys[10] == keys[92] == keys[91 + 83 + 5]
+        assert len(set(keys[: 90 - length + 1].tolist())) == 90 - length + 1
+    least, keys = streams.anchors(50, -7)
+    assert least[10] == least[92] == least[91 + 83 + 5] == min(keys[10 : 10 + 50 - anchor_length(50) + 1])
+    assert (streams.run_keys(6, 8) != streams.run_keys(6, 9)).all()
+
+
 def test_query_has_each_article(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     rows = {r.page_id: r for r in registry.queries()["op9_main_text"](spark, sf_dir).collect()}
