@@ -31,7 +31,9 @@ gives no rows; other columns are ignored, whatever their names. ``br`` is white
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from hashlib import blake2b
 from html import unescape
 from typing import NamedTuple
@@ -251,34 +253,44 @@ class SuffixArray:
     def __init__(self, tokens: np.ndarray, page: np.ndarray):
         size = len(tokens)
         self.page = page
-        ranks = [np.unique(tokens, return_inverse=True)[1].astype(np.int32)]
+        # The rank of a suffix is the place of the first that begins alike; ties alone are sorted again.
+        order = np.argsort(tokens, kind="stable")
+        at, starts = _groups(np.arange(size), tokens[order])
+        ranks = [np.full(size + 1, -1, np.int64)]
+        ranks[0][order] = starts
         step = 1
-        while step < size and ranks[-1].max() < size - 1:
-            after = np.zeros(size, np.int64)
-            after[: size - step] = ranks[-1][step:] + 1
-            pair = ranks[-1].astype(np.int64) * (size + 1) + after
-            ranks.append(np.unique(pair, return_inverse=True)[1].astype(np.int32))
+        while len(at):
+            rank, tied = ranks[-1], order[at]
+            keys = rank[tied] * (size + 1) + rank[np.minimum(tied + step, size)] + 1
+            by_key = np.argsort(keys, kind="stable")
+            tied = order[at] = tied[by_key]
+            at, starts = _groups(at, keys[by_key])
+            ranks.append(rank.copy())
+            ranks[-1][tied] = starts
             step *= 2
-        self.suffixes = np.argsort(ranks[-1], kind="stable")
+        self.suffixes = order
         # Common prefix of each suffix with the one before it, by ever shorter strides.
-        left, right = self.suffixes[:-1].copy(), self.suffixes[1:].copy()
+        left, right = order[:-1].copy(), order[1:].copy()
         common = np.zeros(max(size - 1, 0), np.int64)
         for k in reversed(range(len(ranks))):
-            inside = (left < size) & (right < size)
-            same = inside.copy()
-            same[inside] = ranks[k][left[inside]] == ranks[k][right[inside]]
+            same = np.flatnonzero(ranks[k][left] == ranks[k][right])
             for x in (common, left, right):
                 x[same] += 1 << k
         self.common = np.concatenate([[0], common])
 
     def pages_with(self, length: int, counted: np.ndarray) -> np.ndarray:
         """For each position, how many of the ``counted`` pages have the run of ``length`` from there."""
-        same = np.cumsum(self.common < length) - 1  # suffixes with one number begin alike
+        new = self.common < length
         page = self.page[self.suffixes]
-        taken = counted[page]
-        found = np.unique(same[taken] * len(counted) + page[taken]) // max(len(counted), 1)
-        out = np.zeros(len(page), np.int64)
-        out[self.suffixes] = np.bincount(found, minlength=len(page))[same]
+        found = counted[page].astype(np.int64)
+        # Suffixes that begin like their neighbours, and which of these begin alike.
+        at = np.flatnonzero(~(new & np.append(new[1:], True)))
+        same = np.cumsum(new[at]) - 1
+        taken = counted[page[at]]
+        pairs = np.unique(same[taken] * len(counted) + page[at][taken])
+        found[at] = np.bincount(pairs // max(len(counted), 1), minlength=len(at))[same]
+        out = np.empty_like(found)
+        out[self.suffixes] = found
         return out
 
     def longest_runs(self, pages: int) -> np.ndarray:
@@ -300,6 +312,13 @@ class SuffixArray:
         return best
 
 
+def _groups(places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places whose key a neighbour has, and for each place the first one of its key."""
+    new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    starts = places[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+    return places[~(new & np.append(new[1:], True)[: len(keys)])], starts
+
+
 def _windows(page: np.ndarray, pages: int) -> tuple[np.ndarray, np.ndarray]:
     """For each place, the last and the first place of the shortest window with so many distinct pages
     that begins and ends there; -1 without one."""
@@ -446,30 +465,39 @@ class Streams:
         #: Which of the distinct pages each page is.
         self.same = [numbers.setdefault(tuple(blocks), len(numbers)) for blocks in pages]
         self.pages = [list(blocks) for blocks in numbers]
-        words: dict[str, int] = {}
-        streams = [
-            [words.setdefault(w, len(words)) for block in blocks for w in block.text.split(" ")]
-            for blocks in self.pages
-        ]
+        words: defaultdict[str, int] = defaultdict()
+        words.default_factory = words.__len__
+        tokens: list[int] = []
+        sizes = []
+        for i, blocks in enumerate(self.pages):
+            before = len(tokens)
+            for block in blocks:
+                tokens.extend(map(words.__getitem__, block.text.split(" ")))
+            tokens.append(-1 - i)  # its own
+            sizes.append(len(tokens) - before)
         self.words = list(words)
-        # The number after a page's stream is negative and its own.
-        self.tokens = np.array([x for i, stream in enumerate(streams) for x in (*stream, -1 - i)], np.int64)
-        self.sizes = np.array([len(stream) + 1 for stream in streams], np.int64)
-        self.page = np.repeat(np.arange(len(streams)), self.sizes)
+        self.tokens, self.sizes = np.array(tokens, np.int64), np.array(sizes, np.int64)
+        self.page = np.repeat(np.arange(len(sizes)), self.sizes)
         #: How many tokens the page has from each position on.
         self.left = np.repeat(np.cumsum(self.sizes), self.sizes) - np.arange(len(self.tokens)) - 1
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        of_words = pd.util.hash_array(np.array(self.words, object), categorize=False)
+        out = np.zeros(len(self.tokens), np.uint64)
+        out[self.tokens >= 0] = of_words[self.tokens[self.tokens >= 0]]
+        return out
+
     def run_keys(self, length: int, site: int) -> np.ndarray:
         """A hash of the site and the run of ``length`` from each position; any where the page is over."""
-        hashes = pd.util.hash_array(np.array(self.words, object), categorize=False)
-        level = np.zeros(len(self.tokens), np.uint64)
-        level[self.tokens >= 0] = hashes[self.tokens[self.tokens >= 0]]
+        level = self.hashes
         out, done, bit = np.zeros_like(level), 0, 1
         while done < length:
             if length & bit:
                 out += _ahead(level, done, 0) * _power(done)
                 done += bit
-            level = level + _ahead(level, bit, 0) * _power(bit)
+            if done < length:
+                level = level + _ahead(level, bit, 0) * _power(bit)
             bit *= 2
         return _mixed(out + np.uint64((site * 0x9E3779B97F4A7C15 + length) % 2**64))
 
@@ -602,7 +630,8 @@ def _counted_runs(
     streams = shard.streams
     yield shard.site % buckets, shard.group, shard.site, SITE, shard.leads.sum(), b"", b""
     for (length, least), kind, by in zip(rules.repeats(n), (SHORT, LONG), (SITE, ANCHOR), strict=True):
-        if (known := told.get((shard.site, by))) is None:
+        known = told.get((shard.site, by), ())
+        if not len(known):
             continue
         keys = streams.run_keys(length, shard.site)
         marks = streams.anchors(length, shard.site)[0] if by == ANCHOR else keys
